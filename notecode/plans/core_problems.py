@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import incremental
+from ..operators import incremental, units
 from ..sources.tables import table
 
 
@@ -15,7 +15,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("source_key").alias("entity_id"))
 
 
-QUERIES = {"p6_found": p6_found}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return units.scaled(units.convert(table(spark, d, "merged_entities"), table(spark, d, "measure_units")))
+
+
+QUERIES = {"p3_found": p3_found, "p6_found": p6_found}
 
 ORACLE = {
     "p6_found": """
