@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import formatting, leakage, tokenise
+from . import consensus, formatting, leakage, tokenise
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -31,7 +31,20 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")))
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = consensus.consensus(table(spark, d, "gold_annotations")).where("n_types >= 2")
+    return rows.select("chart_id", "start_offset", F.col("label").alias("entity_type"))
+
+
+def p7_reliability(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.reliability(table(spark, d, "gold_annotations")).select("annotator", "n_votes", F.round("accuracy", 4).alias("accuracy"))
+
+
+def p7_agreement(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.krippendorff_alpha(table(spark, d, "gold_annotations"))
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement}
 
 ORACLE = {
     "p2_found": """
