@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import consensus, formatting, leakage, tokenise
+from . import consensus, formatting, leakage, tokenise, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -44,7 +44,16 @@ def p7_agreement(spark: SparkSession, d: str) -> DataFrame:
     return consensus.krippendorff_alpha(table(spark, d, "gold_annotations"))
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.find_cut(table(spark, d, "documents")).select("doc_id")
+
+
+def p10_sources(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return truncation.cut_share(docs, truncation.find_cut(docs))
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources}
 
 ORACLE = {
     "p2_found": """
