@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def char_ngrams(text: Column, n: int) -> Column:
@@ -24,20 +23,31 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     N-grams weigh log(1 + entries / entries that have it); n-grams no entry has weigh as
     much as those of one entry, so foreign material lowers the score. ``within`` columns
     must be equal on both sides.
+
+    Pairs are found through a text's heaviest n-grams only: the lightest ones, as long as
+    together they are less than ``least`` of the text's length, cannot make up that cosine
+    by themselves. So the common n-grams with the long posting lists are never joined, and
+    no pair is lost.
     """
-    total = entries.agg(F.count("*").alias("_total"))
+    keys = [text, *within]
+    total = entries.agg(F.count("*").alias("_total"))  # one row
     index = entries.select(entry, *within, F.explode(char_ngrams(F.col(entry), n)).alias("gram"))
-    weight = index.groupBy("gram").agg(F.count("*").alias("_df")).crossJoin(F.broadcast(total)).select("gram", F.log1p(F.col("_total") / F.col("_df")).alias("w"), F.log1p("_total").alias("_top"))
-    index = index.join(weight.select("gram", "w"), "gram")
-    norm = index.groupBy(entry, *within).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_en"))
-    index = index.join(norm, [entry, *within])
-    grams = spellings.select(text, *within, F.explode(char_ngrams(F.col(text), n)).alias("gram"))
-    top = F.broadcast(weight.agg(F.max("_top").alias("_top")))
-    grams = grams.join(weight.select("gram", F.col("w").alias("_sw")), "gram", "left").crossJoin(top).withColumn("_sw", F.coalesce("_sw", "_top"))
-    own = grams.groupBy(text, *within).agg(F.sqrt(F.sum(F.col("_sw") * F.col("_sw"))).alias("_sn"))
-    hits = grams.join(index, ["gram", *within]).groupBy(text, *within, entry).agg(F.sum(F.col("w") * F.col("w")).alias("_dot"), F.max("_en").alias("_en"))
-    scored = hits.join(own, [text, *within]).withColumn("cosine", F.col("_dot") / (F.col("_en") * F.col("_sn")))
-    return scored.where(F.col("cosine") >= least).select(text, *within, entry, "cosine")
+    weights = index.groupBy("gram").agg(F.count("*").alias("_df")).crossJoin(F.broadcast(total))
+    weights = weights.select("gram", F.log1p(F.col("_total") / F.col("_df")).alias("w"))
+    index = index.join(weights, "gram")
+    vectors = index.groupBy(entry, *within).agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("_vector"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_en"))
+    grams = spellings.select(*keys).distinct().withColumn("gram", F.explode(char_ngrams(F.col(text), n)))
+    grams = grams.join(weights, "gram", "left").crossJoin(F.broadcast(total)).select(*keys, F.struct(F.coalesce("w", F.log1p("_total")).alias("w"), "gram").alias("g"))
+    texts = grams.groupBy(*keys).agg(F.sort_array(F.collect_list("g")).alias("_grams"), F.sum(F.col("g.w") * F.col("g.w")).alias("_sq"))
+    # Ascending weights: skip the longest beginning whose norm stays under least * norm.
+    light = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip")), lambda acc, g: F.struct((acc["sum"] + g["w"] * g["w"]).alias("sum"), (acc["skip"] + F.when(acc["sum"] + g["w"] * g["w"] < least * least * F.col("_sq") * 0.999, 1).otherwise(0)).alias("skip")))
+    texts = texts.withColumn("_skip", light["skip"])
+    probe = texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all"), F.explode(F.expr("slice(_grams, _skip + 1, size(_grams))")).alias("g"))
+    probe = probe.select(*keys, "_sn", "_all", F.col("g.gram").alias("gram"))
+    pairs = probe.join(index.select("gram", entry, *within), ["gram", *within]).groupBy(*keys, entry).agg(F.first("_sn").alias("_sn"), F.first("_all").alias("_all"))
+    dot = F.aggregate("_all", F.lit(0.0), lambda acc, g: acc + F.coalesce(F.try_element_at("_vector", g) * F.try_element_at("_vector", g), F.lit(0.0)))
+    scored = pairs.join(vectors, [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
+    return scored.where(F.col("cosine") >= least).select(*keys, entry, "cosine")
 
 
 def weighted_distance(a: str, b: str, cost) -> float:
@@ -55,5 +65,3 @@ def weighted_distance(a: str, b: str, cost) -> float:
         prev2, prev = prev, row
     return prev[-1]
 
-
-DOUBLE = T.DoubleType()

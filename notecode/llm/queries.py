@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import consensus, formatting, leakage, tokenise, truncation
+from . import canonical, consensus, formatting, leakage, tokenise, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +53,14 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_share(docs, truncation.find_cut(docs))
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources}
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    concepts = table(spark, d, "umls_concepts")
+    rows = canonical.map_rows(table(spark, d, "merged_entities"), concepts)
+    canonical_names = concepts.select(F.col("preferred_name").alias("text")).where("text is not null").distinct()
+    return rows.join(canonical_names, "text", "left_anti").select(F.col("id").alias("entity_id"), "cui").distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found}
 
 ORACLE = {
     "p2_found": """
