@@ -20,7 +20,7 @@ def char_ngrams(text: Column, n: int) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(padded, i, F.lit(n))))
 
 
-def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5) -> DataFrame:
+def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5, check: Column | None = None) -> DataFrame:
     """(text, within..., entry, cosine) of all pairs with a cosine of ``least`` or more.
 
     N-grams weigh log(1 + entries / entries that have it); n-grams no entry has weigh as
@@ -31,6 +31,8 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     norm is under LIGHT * ``least`` of the text's, add less than that to a cosine. So the
     commonest n-grams with the longest posting lists are not joined, pairs whose heavy part
     cannot make up for them are dropped before the exact score, and no pair is lost.
+    ``check``, a condition on text and entry that pairs must meet besides, is tested before
+    the costlier exact score.
     """
     keys = [text, *within]
     total = entries.agg(F.count("*").alias("_total"))  # one row
@@ -51,6 +53,8 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     pairs = heavy.join(postings, ["gram", *within]).groupBy(*keys, entry).agg(F.sum(F.col("w") * F.col("w")).alias("_part"), F.max("_sq").alias("_sq"), F.max("_en").alias("_en"))
     # The skipped n-grams add at most LIGHT * least: what falls short of the rest cannot reach the cosine.
     pairs = pairs.where(F.col("_part") >= (1 - LIGHT) * least * 0.999 * F.sqrt("_sq") * F.col("_en")).select(*keys, entry)
+    if check is not None:
+        pairs = pairs.where(check)
     pairs = pairs.join(texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
     dot = F.aggregate("_all", F.lit(0.0), lambda acc, g: acc + F.coalesce(F.try_element_at("_vector", g) * F.try_element_at("_vector", g), F.lit(0.0)))
     scored = pairs.join(vectors, [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
