@@ -102,7 +102,6 @@ def map_values(values: DataFrame, concepts: DataFrame) -> DataFrame:
     longest = F.broadcast(names.agg(F.max(F.length("name")).alias("_longest")))  # one row
     # Longer than every name by more than the allowed edits: out of reach of any rule below.
     rest = stage(rest.crossJoin(longest).where(F.length("sound") <= F.col("_longest") + 4).drop("_longest").where(F.length("sound") >= 4), "unknown-forms")
-    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE)
     a, b = F.col("sound"), F.col("entry")
     whole = F.when(_digits(a) == _digits(b), F.levenshtein(a, b, 4))
     whole = F.when((whole >= 0) & (whole <= _allowed(F.least(F.length(a), F.length(b)))), whole.cast("double"))
@@ -110,7 +109,9 @@ def map_values(values: DataFrame, concepts: DataFrame) -> DataFrame:
     short = (F.length(a) < F.length(b)) & (F.length(a) * 2 >= F.length(b)) & (F.length(a) >= 6) & (_digits(a) == _digits(start))
     cut = F.when(short, F.levenshtein(a, start, 2))
     cut = F.when((cut >= 0) & (cut <= _allowed(F.length(a)) / 2), cut + 0.5)
-    near = near.withColumn("d", F.least(whole, cut)).where("d is not null")
+    distance = F.least(whole, cut)
+    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE, check=distance.isNotNull())
+    near = near.withColumn("d", distance)
     found = rest.select("text", "sound").join(near, "sound").join(sounds, "entry")
     per_concept = found.groupBy("text", "cui").agg(F.min("d").alias("d"), F.max("cosine").alias("cosine"))
     # The best concept, and the margin to the next one.
