@@ -9,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Share of the wanted cosine that a text's lightest n-grams may make up without being joined.
-LIGHT = 0.8
-
 
 def char_ngrams(text: Column, n: int) -> Column:
     """The distinct character n-grams of a text with one boundary mark on either side."""
@@ -27,10 +24,10 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     much as those of one entry, so foreign material lowers the score. ``within`` columns
     must be equal on both sides.
 
-    Pairs are found through a text's heaviest n-grams: the lightest ones, as long as their
-    norm is under LIGHT * ``least`` of the text's, add less than that to a cosine. So the
-    commonest n-grams with the longest posting lists are not joined, pairs whose heavy part
-    cannot make up for them are dropped before the exact score, and no pair is lost.
+    Pairs are found by prefix filtering: n-grams are ordered by weight everywhere, and the
+    lightest ones of a text or entry, as long as their norm is under ``least`` of the whole,
+    are not joined. The heaviest n-gram two sides share lies before the rest of both if the
+    cosine is reached, so no pair is lost while the long posting lists are not read.
     ``check``, a condition on text and entry that pairs must meet besides, is tested before
     the costlier exact score.
     """
@@ -40,23 +37,21 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     weights = index.groupBy("gram").agg(F.count("*").alias("_df")).crossJoin(F.broadcast(total))
     weights = weights.select("gram", F.log1p(F.col("_total") / F.col("_df")).alias("w"))
     index = index.join(weights, "gram")
-    vectors = index.groupBy(entry, *within).agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("_vector"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_en"))
+    vectors = index.groupBy(entry, *within).agg(F.sort_array(F.collect_list(F.struct("w", "gram"))).alias("_grams"), F.sum(F.col("w") * F.col("w")).alias("_sq"))
     grams = spellings.select(*keys).distinct().withColumn("gram", F.explode(char_ngrams(F.col(text), n)))
     grams = grams.join(weights, "gram", "left").crossJoin(F.broadcast(total)).select(*keys, F.struct(F.coalesce("w", F.log1p("_total")).alias("w"), "gram").alias("g"))
     texts = grams.groupBy(*keys).agg(F.sort_array(F.collect_list("g")).alias("_grams"), F.sum(F.col("g.w") * F.col("g.w")).alias("_sq"))
-    # Ascending weights: skip the longest beginning whose norm stays under LIGHT * least * norm.
-    most = (LIGHT * least) ** 2 * F.col("_sq")
+    # Ascending weights: the longest beginning whose norm stays under least * norm is not joined.
+    most = least * least * 0.999 * F.col("_sq")
     step = lambda acc, g: F.struct((acc["sum"] + g["w"] * g["w"]).alias("sum"), (acc["skip"] + F.when(acc["sum"] + g["w"] * g["w"] < most, 1).otherwise(0)).alias("skip"))
-    texts = texts.withColumn("_skip", F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip")), step)["skip"])
-    heavy = texts.select(*keys, "_sq", F.explode(F.expr("slice(_grams, _skip + 1, size(_grams))")).alias("g")).select(*keys, "_sq", F.col("g.gram").alias("gram"))
-    postings = index.join(vectors.select(entry, *within, "_en"), [entry, *within]).select("gram", entry, *within, "w", "_en")
-    pairs = heavy.join(postings, ["gram", *within]).groupBy(*keys, entry).agg(F.sum(F.col("w") * F.col("w")).alias("_part"), F.max("_sq").alias("_sq"), F.max("_en").alias("_en"))
-    # The skipped n-grams add at most LIGHT * least: what falls short of the rest cannot reach the cosine.
-    pairs = pairs.where(F.col("_part") >= (1 - LIGHT) * least * 0.999 * F.sqrt("_sq") * F.col("_en")).select(*keys, entry)
+    skip = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip")), step)["skip"]
+    heavy = lambda rows, *columns: rows.withColumn("_skip", skip).select(*columns, F.explode(F.expr("slice(_grams, _skip + 1, size(_grams))")).alias("g")).select(*columns, F.col("g.gram").alias("gram"))
+    pairs = heavy(texts, *keys).join(heavy(vectors, entry, *within), ["gram", *within]).select(*keys, entry).distinct()
     if check is not None:
         pairs = pairs.where(check)
     pairs = pairs.join(texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
-    dot = F.aggregate("_all", F.lit(0.0), lambda acc, g: acc + F.coalesce(F.try_element_at("_vector", g) * F.try_element_at("_vector", g), F.lit(0.0)))
+    vectors = vectors.select(entry, *within, F.sqrt("_sq").alias("_en"), "_grams")
+    dot = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.when(F.array_contains("_all", g["gram"]), g["w"] * g["w"]).otherwise(0.0))
     scored = pairs.join(vectors, [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
     return scored.where(F.col("cosine") >= least).select(*keys, entry, "cosine")
 
