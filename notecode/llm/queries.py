@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import canonical, consensus, formatting, leakage, tokenise, truncation
+from . import canonical, consensus, formatting, leakage, privacy, tokenise, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +60,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(canonical_names, "text", "left_anti").select(F.col("id").alias("entity_id"), "cui").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    charts = table(spark, d, "charts")
+    given = privacy.given_names(charts)
+    sources = ((charts, "chart_id", "raw_text"), (table(spark, d, "document_sections"), "section_id", "section_text"), (table(spark, d, "merged_entities"), "entity_id", "entity_context"))
+    parts = [rows.select(F.col(i).alias("id"), F.col(t).alias("text")) for rows, i, t in sources]
+    items = privacy.find_items(reduce(DataFrame.unionByName, parts), given, id_col="id", text_col="text")
+    return items.select("record_id", "pii_type", "start_offset").distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found}
 
 ORACLE = {
     "p2_found": """
