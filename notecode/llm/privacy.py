@@ -181,7 +181,7 @@ class Detector:
     @staticmethod
     def _said(surname: str, given: str) -> bool:
         """A word before a comma and a given name in other letter case is running text."""
-        return surname[:1].islower() and given[:1].isupper()
+        return surname.split()[-1][:1].islower() and given[:1].isupper()
 
     def _trim(self, flat: str, a: int, b: int) -> int:
         """Cut a titled name where running text begins."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import canonical, consensus, formatting, leakage, privacy, tokenise, truncation
+from . import canonical, consensus, formatting, leakage, privacy, scans, tokenise, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +69,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return items.select("record_id", "pii_type", "start_offset").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.find_noise(table(spark, d, "charts"), table(spark, d, "document_sections"))
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found, "p4_found": p4_found}
 
 ORACLE = {
     "p2_found": """
