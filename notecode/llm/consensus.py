@@ -73,7 +73,7 @@ def _posterior(codes: list, log_prior: np.ndarray, log_conf: np.ndarray) -> np.n
     return p / p.sum(axis=1, keepdims=True)
 
 
-def fit(packed: DataFrame, n_annotators: int, n_labels: int, *, smoothing: float = 1.0, iterations: int = 60, tolerance: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit(packed: DataFrame, n_annotators: int, n_labels: int, *, smoothing: float = 3.0, iterations: int = 60, tolerance: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """(log prior, log confusion by code): EM from majority shares to a change of the model below ``tolerance``."""
     spark, size = packed.sparkSession, n_annotators * n_labels
     prior = np.full(n_labels, 1.0 / n_labels)
@@ -117,7 +117,7 @@ def fit(packed: DataFrame, n_annotators: int, n_labels: int, *, smoothing: float
     return np.log(prior), np.log(conf)
 
 
-def consensus(annotations: DataFrame, *, item: tuple[str, ...] = ("chart_id", "start_offset"), labels: tuple[str, ...] = LABELS, smoothing: float = 1.0) -> DataFrame:
+def consensus(annotations: DataFrame, *, item: tuple[str, ...] = ("chart_id", "start_offset"), labels: tuple[str, ...] = LABELS, smoothing: float = 3.0) -> DataFrame:
     """(item, label, posterior, n_votes, n_types): the best-supported label of every item with a vote."""
     packed, names = pack(votes(annotations, item=item, labels=labels), item, labels)
     k = len(labels)
@@ -142,7 +142,7 @@ def consensus(annotations: DataFrame, *, item: tuple[str, ...] = ("chart_id", "s
     return packed.mapInPandas(decide, schema)
 
 
-def reliability(annotations: DataFrame, *, item: tuple[str, ...] = ("chart_id", "start_offset"), labels: tuple[str, ...] = LABELS, smoothing: float = 1.0) -> DataFrame:
+def reliability(annotations: DataFrame, *, item: tuple[str, ...] = ("chart_id", "start_offset"), labels: tuple[str, ...] = LABELS, smoothing: float = 3.0) -> DataFrame:
     """(annotator, n_votes, accuracy): the chance that an annotator names the true label, over the estimated mix of labels."""
     rows = stage(votes(annotations, item=item, labels=labels), "votes")
     packed, names = pack(rows, item, labels)

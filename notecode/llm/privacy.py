@@ -49,11 +49,11 @@ _HIDDEN = re.compile("[​-‍⁠﻿­]")
 _ODD = re.compile(r"[^\x00-\x7f]|[\n\t]|[\[({<] ?at ?[\])}>]|\bdot\b|\b(?:zero|oh|nine|five|one)\b[ -](?:zero|oh|one|two|three|four|five|six|seven|eight|nine)\b", re.I)
 
 
-def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None]:
-    """(rewritten text, starts of its pieces, where each piece starts in the source); None for no change of place."""
+def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None, set[int]]:
+    """(rewritten text, starts of its pieces, where each piece starts in the source, rewritten pieces); None for no change of place."""
     edits: list[tuple[int, int, str]] = []
     if not _ODD.search(text):
-        return text, None, None
+        return text, None, None, set()
     for m in _BREAK.finditer(text):
         edits.append((m.start(), m.end(), ""))
     for m in _HIDDEN.finditer(text):
@@ -66,16 +66,22 @@ def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None]:
             edits += disguised
             edits += [(m.start(), m.end(), ".") for m in _DOT.finditer(flat)]
     for m in _SPELLED.finditer(flat):
-        for w in _WORD.finditer(m[0]):
-            edits.append((m.start() + w.start(), m.start() + w.end(), _DIGIT_WORDS[w[0].lower()]))
+        said = list(_WORD.finditer(m[0]))
+        for k, w in enumerate(said):
+            last = k + 1 == len(said)
+            # Ten digits are written as a number is: 3-3-4.
+            mark = "-" if len(said) == 10 and k in (2, 5) else ""
+            edits.append((m.start() + w.start(), m.start() + (w.end() if last else said[k + 1].start()), _DIGIT_WORDS[w[0].lower()] + mark))
     if not edits:
-        return flat, None, None
-    out, starts, sources, at, size = [], [], [], 0, 0
+        return flat, None, None, set()
+    out, starts, sources, edited, at, size = [], [], [], set(), 0, 0
     for a, b, new in sorted(edits):
         if a < at:
             continue
         for piece, source in ((flat[at:a], at), (new, a)):
             if piece:
+                if source == a and piece is new:
+                    edited.add(len(starts))
                 out.append(piece)
                 starts.append(size)
                 sources.append(source)
@@ -84,7 +90,15 @@ def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None]:
     starts.append(size)
     sources.append(at)
     out.append(flat[at:])
-    return "".join(out), starts, sources
+    return "".join(out), starts, sources, edited
+
+
+def source_end(i: int, starts: list[int] | None, sources: list[int] | None, edited: set[int]) -> int:
+    """Where the source of the character before ``i`` ends; a rewritten piece stands for all of its source."""
+    if starts is None:
+        return i
+    k = bisect_right(starts, i - 1) - 1
+    return sources[k + 1] if k in edited else sources[k] + i - starts[k]
 
 
 def source_offset(i: int, starts: list[int] | None, sources: list[int] | None) -> int:
@@ -98,8 +112,7 @@ _EMAIL = re.compile(r"(?<![\w.+-])[\w.+'-]{1,64}@ ?[\w-]+(?:\. ?[\w-]+)+")
 _D = r"[0-9]"
 _PHONE = re.compile(rf"(?<![\w+(#./-])(?:\+{_D}{{1,3}}[ .-]?(?:\(\d{{2,4}}\)|\d{{1,4}})[ .-]?{_D}{{2,4}}[ .-]?{_D}{{3,4}}|1[-. ]{_D}{{3}}[-. ]{_D}{{3}}[-. ]{_D}{{4}}|\({_D}{{3}}\) ?{_D}{{3}}[-. ]{_D}{{4}}|{_D}{{3}}[-./ ] ?{_D}{{3}}[-. ]?{_D}{{4}})(?![\w/-]|\.\d)")
 _LABEL = r"(?:MRN|medical record(?: number)?|med(?:\.|ical)? ?rec(?:ord)?\.?|SSN|SS ?#|social security|passport|travel document|insurance|policy ?holder|member(?:ship)? ?ID|member|subscriber|driver'?s? ?licen[cs]e|driving licen[cs]e|licen[cs]e|national ID|NHS|patient ID|health card|identity card|ID card)"
-_ID = re.compile(rf"\b{_LABEL}(?: ?(?:no|nr|number|num|ID|#)\b\.?)?[ :#.]{{0,3}}((?=[A-Z0-9 -]*\d)[A-Z]{{0,2}}[ -]?\d[\dA-Z]*(?:[- ][\dA-Z]+)*)", re.I)
-_ID_TAIL = re.compile(r"^(?:[A-Z]{0,2}[- ]?\d[\dA-Z]*(?:[- ](?:\d[\dA-Z]*|[A-Z](?![A-Za-z])))*)", re.I)
+_ID = re.compile(rf"\b{_LABEL}(?: ?(?:no|nr|number|num|ID)\b\.?)?[ :#.]{{0,3}}((?:[A-Z]{{1,2}}[- ]?)?\d[\dA-Z]*(?:[- ](?:\d[\dA-Z]*|[A-Z](?![A-Za-z])))*)", re.I)
 _STREET = r"(?:St(?:reet|\.)?|R(?:oa)?d|Ave(?:nue)?|L(?:ane|n)|Blvd|Boulevard|Close|Terrace|Ter|Court|Ct|Drive|Dr|Way|Place|Pl|Square|Sq|Crescent|Row|Hill|Gardens|Grove|Mews|Walk|Parade)"
 _ADDRESS = re.compile(rf"(?<![\w/.,:-])\d{{1,5}}[a-z]?,? +(?:[A-Z][\w'’-]* +){{1,4}}?{_STREET}\b\.?(?:,? *(?:Apt|Flat|Unit|Suite|No)\.? *\w+)?(?:, *[A-Z][\w'’-]*(?: +[A-Z][\w'’-]*){{0,2}}(?: +\d{{4,6}})?)?")
 _ADDRESS_UP = re.compile(rf"(?<![\w/.,:-])\d{{1,5}}[A-Z]?,? +(?:[A-Z][A-Z'’-]* +){{1,4}}?{_STREET.upper()}\b\.?(?:,? *(?:APT|FLAT|UNIT|SUITE)\.? *\w+)?")
@@ -121,15 +134,12 @@ class Detector:
 
     def find(self, text: str) -> list[tuple[str, int, int]]:
         """(type, start, end) in the source, in order, without overlaps."""
-        flat, starts, sources = normalise(text)
+        flat, starts, sources, edited = normalise(text)
         spans: list[tuple[int, int, str]] = []
         if "@" in flat:
             spans += [(m.start(), m.end(), "EMAIL") for m in _EMAIL.finditer(flat) if not m[0].endswith("@")]
         if _HAS_DIGITS.search(flat):
-            for m in _ID.finditer(flat):
-                body = _ID_TAIL.match(m[1])
-                if body and sum(c.isdigit() for c in body[0]) >= 5:
-                    spans.append((m.start(1), m.start(1) + len(body[0].rstrip(" -")), "ID"))
+            spans += [(m.start(1), m.end(1), "ID") for m in _ID.finditer(flat) if sum(c.isdigit() for c in m[1]) >= 5]
             spans += [(m.start(), m.end(), "PHONE") for m in _PHONE.finditer(flat)]
             spans += [(m.start(), m.end(), "ADDRESS") for m in _ADDRESS.finditer(flat)]
             spans += [(m.start(), m.end(), "ADDRESS") for m in _ADDRESS_UP.finditer(flat)]
@@ -138,7 +148,7 @@ class Detector:
         out, end = [], -1
         for a, b, kind in spans:
             if a >= end:
-                out.append((kind, source_offset(a, starts, sources), source_offset(b - 1, starts, sources) + 1))
+                out.append((kind, source_offset(a, starts, sources), source_end(b, starts, sources, edited)))
                 end = b
         return out
 

@@ -39,6 +39,9 @@ MAX_WORDS = 400_000
 #: A correction is this many times as frequent as the word it replaces, two occurrences of that left out.
 RATIO = 150
 
+#: Least mean log odds of a correction of a short word among its neighbours.
+LEAST_FIT = -2.5
+
 #: Confusions of character recognition, read -> meant (fixed values).
 GLYPHS = (
     "0:o 1:l 1:i 5:s 8:b 6:b 9:g 3:e 4:a 2:z |:i |:l !:l !:i +:t @:a $:s €:e ©:c "
@@ -201,7 +204,8 @@ class Reader:
             return None
         scored = [(self.fits(w, context), w) for w in links]
         best = max(scored)
-        return best[1] if best[0] > -2.5 else None
+        # Short words of letters only are near many words: they must go with their company.
+        return best[1] if odd or len(low) >= 6 or best[0] > LEAST_FIT else None
 
     def misread(self, word: str, context: list[str]) -> tuple[str, int] | None:
         """(word meant, place of the first difference) of a misread word or number."""
@@ -362,7 +366,7 @@ def pair_counts(texts: DataFrame, vocabulary: list[str], column: str = "text") -
     return rows.mapInPandas(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives: int = 5, epochs: int = 12, rate: float = 0.05, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives: int = 5, epochs: int = 12, rate: float = 0.2, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Skip-gram vectors with negative sampling from pair counts: (centre, around).
 
     The objective depends on the corpus through the pair counts only, so batches of pairs
@@ -378,6 +382,7 @@ def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives:
     noise = np.cumsum(noise / noise.sum())
     chance = np.cumsum(n**0.5 / (n**0.5).sum())
     batch = 4096
+    seen_centre, seen_around = np.zeros(size), np.zeros(size)
     for _ in range(epochs * max(1, len(a) // batch)):
         pick = np.searchsorted(chance, rng.random(batch)).clip(0, len(a) - 1)
         i = a[pick]
@@ -387,8 +392,11 @@ def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives:
         score[:, 0] -= 1
         gx = (score[:, :, None] * y).sum(axis=1)
         gy = score[:, :, None] * x[:, None, :]
-        np.add.at(centre, i, -rate * gx)
-        np.add.at(around, j.ravel(), -rate * gy.reshape(-1, DIMENSIONS))
+        for table, seen, rows, g in ((centre, seen_centre, i, gx), (around, seen_around, j.ravel(), gy.reshape(-1, DIMENSIONS))):
+            step = np.zeros_like(table)
+            np.add.at(step, rows, g)
+            seen += (step * step).mean(axis=1)  # a step per word in proportion to its gradients so far (AdaGrad)
+            table -= rate * step / np.sqrt(seen + 1e-8)[:, None]
     return centre, around
 
 
