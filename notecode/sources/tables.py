@@ -7,8 +7,11 @@ re-run of its tasks and nothing else.
 
 from __future__ import annotations
 
+import io
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,13 +45,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_file(spark: SparkSession, data: bytes, name: str) -> str:
-    """Put a file into the shared folder and on every executor's local disk; ``SparkFiles.get`` of the returned name finds it."""
-    name = f"{uuid.uuid4().hex}-{name}"
+def _share(spark: SparkSession, data: bytes, name: str) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/files/{name}")
     out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
     out.write(bytearray(data))
     out.close()
-    spark.sparkContext.addFile(path.toString())
+    return path.toString()
+
+
+def ship_file(spark: SparkSession, data: bytes, name: str) -> str:
+    """Put a file into the shared folder and on every executor's local disk; ``SparkFiles.get`` of the returned name finds it."""
+    name = f"{uuid.uuid4().hex}-{name}"
+    spark.sparkContext.addFile(_share(spark, data, name))
     return name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session's cluster, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = pathlib.Path(__file__).resolve().parent.parent
+    if not root.is_dir():  # already read from a shipped archive
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(p.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(_share(spark, data.getvalue(), f"{root.name}-{uuid.uuid4().hex}.zip"))
+    _SHIPPED.add(application)
