@@ -55,7 +55,7 @@ _TOKEN = re.compile(r"\S+")
 _PART = re.compile(r"[^-/‐]+")
 _MAIL = re.compile(r"[\w.+-]+@[\w-]+\.[\w.-]+|@\w+\.\w")
 _BROKEN = re.compile(rf"(?P<w>[^\W\d_][^\s]*?)(?P<h>[{_HYPHEN}])\s*$")
-_NUMBERISH = re.compile(r"^[(]?(?=.*\d)(?=.*[OolISBZ|])[\dOolISBZ|]+(?:[.,:/-][\dOolISBZ|]+)*[%)]?$")
+_NUMBERISH = re.compile(r"^[(]?(?=.*\d)(?=.*[OolISBZ|b])(?:[\dOolISBZ|]|b(?=\d))+(?:[.,:/-](?:[\dOolISBZ|]|b(?=\d))+)*[%)]?$")
 _PAGE = re.compile(r"^\W*(?:p(?:age|g|\.)?\.?\s*)?[\dlIO|SBZ]{1,4}(?:\s*(?:of|/|0f|oi)\s*[\dlIO|SBZ]{1,4})?\W*$", re.I)
 _PAGE_WORD = re.compile(r"^\W*p[a@]?[gq]?[ec]?\W*\s", re.I)
 _SECTION = re.compile(r"^(?:#{1,3}\s.*|[^a-z]{0,3}[\w/ ,'|@+]{2,40}:)\s*$")
@@ -154,7 +154,8 @@ class Reader:
         got = self.memo.get(word)
         if got is None:
             own = self.counts.get(word, 0)
-            least = max(20, RATIO * (own - 2))
+            # A long word that occurs once or twice has few neighbours by chance.
+            least = max(4 if len(word) >= 8 and own < 2 else 20, RATIO * (own - 2))
             seen = {word}
             for once in self._edits(word):
                 n = self.counts.get(once, 0)
@@ -216,7 +217,7 @@ class Reader:
             letters = sum(c.isalpha() or c == "|" for c in plain)
             digits = sum(c.isdigit() for c in plain)
             if digits >= letters and len(plain) >= 2:
-                meant = plain.translate(str.maketrans("OolI|SBZ", "00111582"))
+                meant = plain.translate(str.maketrans("OolI|SBZb", "001115826"))
                 return meant, next(i for i, (a, b) in enumerate(zip(word, meant)) if a != b) if len(word) == len(meant) else 0
             return None
         meant = self.correct(word, context)
