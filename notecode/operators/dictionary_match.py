@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.clinical import group_entity_type, ngrams, norm_term, stable_id
+from ..functions.clinical import group_entity_type, ngrams, norm_term, stable_id, words
 
 ENTRY = ("term", "term_normalized", "source", "entity_type", "source_code", "cui")
 
@@ -45,7 +45,8 @@ def build_dictionary(*, icd10: DataFrame | None = None, loinc: DataFrame | None
 
 def extract_ngrams(sections: DataFrame, most: int = 5) -> DataFrame:
     """(chart_id, section_id, ngram): the distinct n-grams of every section."""
-    rows = sections.where("section_text is not null").select("chart_id", "section_id", F.explode(ngrams(F.col("section_text"), most)).alias("ngram"))
+    split = sections.where("section_text is not null").select("chart_id", "section_id", words(F.col("section_text")).alias("w"))
+    rows = split.select("chart_id", "section_id", F.explode(ngrams(F.col("w"), most)).alias("ngram"))
     return rows.distinct()
 
 
@@ -72,9 +73,9 @@ def fuzzy_pairs(grams: DataFrame, dictionary: DataFrame, max_distance: int = 2,
     shape = lambda df, c: df.select(F.col(c).alias("t")).where(F.length("t") >= 6).distinct()
     terms, texts = shape(dictionary, "term_normalized"), shape(grams, "ngram")
     texts = texts.join(terms, "t", "left_anti")
-    words = lambda df, name: df.select(F.col("t").alias(name), F.explode(F.array_distinct(F.filter(F.split("t", " "), lambda w: F.length(w) >= 3))).alias("token"))
-    left = words(texts, "ngram").withColumn("size", F.length("ngram"))
-    right = words(terms, "term_normalized").withColumn("size", F.explode(F.sequence(F.length("term_normalized") - max_distance, F.length("term_normalized") + max_distance)))
+    by_word = lambda df, name: df.select(F.col("t").alias(name), F.explode(F.array_distinct(F.filter(F.split("t", " "), lambda w: F.length(w) >= 3))).alias("token"))
+    left = by_word(texts, "ngram").withColumn("size", F.length("ngram"))
+    right = by_word(terms, "term_normalized").withColumn("size", F.explode(F.sequence(F.length("term_normalized") - max_distance, F.length("term_normalized") + max_distance)))
     pairs = left.join(right, ["token", "size"]).select("ngram", "term_normalized").distinct()
     pairs = pairs.withColumn("distance", F.levenshtein("ngram", "term_normalized", max_distance)).where("distance between 1 and " + str(max_distance))
     score = 1 - F.col("distance") / F.greatest(F.length("ngram"), F.length("term_normalized"))

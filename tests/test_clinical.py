@@ -28,7 +28,7 @@ def test_segmentation(spark):
 
 def test_ngrams_against_python(spark):
     texts = ["Left knee, left knee", "", "a-b c", "één twee drie vier"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", clinical.ngrams(F.col("t"), 3).alias("g"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", clinical.words(F.col("t")).alias("w")).select("t", clinical.ngrams(F.col("w"), 3).alias("g"))
     for r in df.collect():
         import re
 
