@@ -46,9 +46,11 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     step = lambda acc, g: F.struct((acc["sum"] + g["w"] * g["w"]).alias("sum"), (acc["skip"] + F.when(acc["sum"] + g["w"] * g["w"] < most, 1).otherwise(0)).alias("skip"))
     skip = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip")), step)["skip"]
     heavy = lambda rows, *columns: rows.withColumn("_skip", skip).select(*columns, F.explode(F.expr("slice(_grams, _skip + 1, size(_grams))")).alias("g")).select(*columns, F.col("g.gram").alias("gram"))
-    pairs = heavy(texts, *keys).join(heavy(vectors, entry, *within), ["gram", *within]).select(*keys, entry).distinct()
+    pairs = heavy(texts, *keys).join(heavy(vectors, entry, *within), ["gram", *within]).groupBy(*keys, entry).agg(F.count("*").alias("_shared"))
     if check is not None:
-        pairs = pairs.where(check)
+        # Bound to the count, so that it is tested once per pair and not once per shared n-gram below the aggregation.
+        pairs = pairs.where(F.when(F.col("_shared") > 0, check))
+    pairs = pairs.drop("_shared")
     pairs = pairs.join(texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
     vectors = vectors.select(entry, *within, F.sqrt("_sq").alias("_en"), "_grams")
     dot = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.when(F.array_contains("_all", g["gram"]), g["w"] * g["w"]).otherwise(0.0))
