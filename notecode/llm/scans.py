@@ -33,11 +33,17 @@ from pyspark.sql import functions as F
 VECTOR_WORDS = 6000
 DIMENSIONS = 32
 WINDOW = 2
-#: Words sent to the workers with their counts: those frequent enough to be corrections or known words.
-MIN_COUNT = 3
+#: Words sent to the workers with their counts, the most frequent of the corpus.
 MAX_WORDS = 400_000
-#: A correction is this many times as frequent as the word it replaces, two occurrences of that left out.
-RATIO = 150
+#: A correction is this many times as frequent as the word it replaces. All tests on counts are ratios, so that
+#: they say the same of a corpus and of its tenfold: long words have few neighbours by chance, and words with
+#: digits or signs among their letters are no words.
+RATIO = 20
+LONG_RATIO = 4
+ODD_RATIO = 4
+#: Common words are more frequent than this share of the distinct words: codes with a digit or sign inside that
+#: resemble no word, numbers with letters, and the parts of a compound.
+CODES, NUMBERS, PARTS = 0.75, 0.9, 0.95
 
 #: Least mean log odds of a correction of a short word among its neighbours.
 LEAST_FIT = -2.5
@@ -148,24 +154,27 @@ class Reader:
     def __init__(self, counts: dict[str, int], vectors: dict[str, int], centre: np.ndarray, around: np.ndarray):
         self.counts, self.ids, self.centre, self.around = counts, vectors, centre, around
         self.memo: dict[str, tuple] = {}
+        self.top = max(counts.values(), default=0)
+        self.code, self.number, self.part = (float(np.quantile(list(counts.values()), q, method="lower")) if counts else 0.0 for q in (CODES, NUMBERS, PARTS))
+        # Words beyond the bound occur at most as often as the last one within.
+        self.beyond = min(counts.values()) if len(counts) >= MAX_WORDS else 0
 
     def links(self, word: str) -> tuple:
         """Frequent words that a word may be a misreading of: (word, count), most frequent first."""
         got = self.memo.get(word)
         if got is None:
-            own = self.counts.get(word, 0)
-            # A long word that occurs once or twice has few neighbours by chance.
-            least = max(4 if len(word) >= 8 and own < 2 else 20, RATIO * (own - 2))
+            own = self.counts.get(word, self.beyond)
+            least = max(1, own * (ODD_RATIO if self.odd(word) else LONG_RATIO if len(word) >= 8 else RATIO))
             seen = {word}
-            for once in self._edits(word):
-                n = self.counts.get(once, 0)
-                if n >= least:
-                    seen.add(once)
-            if len(seen) == 1 and len(word) >= 6 and own < MIN_COUNT:
-                for once in set(self._edits(word)):
-                    for twice in self._edits(once):
-                        if self.counts.get(twice, 0) >= least:
-                            seen.add(twice)
+            if least <= self.top:
+                for once in self._edits(word):
+                    if self.counts.get(once, 0) >= least:
+                        seen.add(once)
+                if len(seen) == 1 and len(word) >= 6:
+                    for once in set(self._edits(word)):
+                        for twice in self._edits(once):
+                            if self.counts.get(twice, 0) >= least:
+                                seen.add(twice)
             seen.discard(word)
             got = tuple(sorted(seen, key=lambda w: -self.counts[w]))
             if len(self.memo) > 300_000:
@@ -173,6 +182,11 @@ class Reader:
             self.memo[word] = got
         return got
 
+    @staticmethod
+    def odd(low: str) -> bool:
+        """Whether a word has glyphs that words do not have."""
+        return any(c in "|@+$€©!" for c in low) or (any(c.isdigit() for c in low) and sum(c.isalpha() for c in low) >= 2)
+
     @staticmethod
     def _edits(word: str):
         for read, meant in _PAIRS:
@@ -192,11 +206,10 @@ class Reader:
     def correct(self, word: str, context: list[str]) -> str | None:
         """The word meant, if this one is a misreading."""
         low = word.lower()
-        n = self.counts.get(low, 0)
-        odd = any(c in "|@+$€©!" for c in low) or (any(c.isdigit() for c in low) and sum(c.isalpha() for c in low) >= 2)
+        odd = self.odd(low)
         if len(low) < 3 and not odd or word.isupper() and len(word) <= 4 and not odd:
             return None
-        if low.isdigit() or (n >= 200 and not odd):
+        if low.isdigit():
             return None
         links = self.links(low)
         if not links:
@@ -212,7 +225,7 @@ class Reader:
         """(word meant, place of the first difference) of a misread word or number."""
         if _NUMBERISH.match(word):
             plain = word.strip("()%")
-            if re.fullmatch(r"[A-Z]{1,2}[\d-]+|\d+(?:[.,]\d+)?l", plain) or plain.lower() in self.counts and self.counts[plain.lower()] >= 30:
+            if re.fullmatch(r"[A-Z]{1,2}[\d-]+|\d+(?:[.,]\d+)?l", plain) or self.counts.get(plain.lower(), 0) > self.number:
                 return None
             letters = sum(c.isalpha() or c == "|" for c in plain)
             digits = sum(c.isdigit() for c in plain)
@@ -225,7 +238,7 @@ class Reader:
         if meant is None:
             inner = re.search(r"[^\W\d_][0-9|@+$!][^\W\d_]|^[0-9|@+$!](?=[^\W\d_]{3})|[^\W\d_]{3}[|@+$!0-9]$", low)
             letters = sum(c.isalpha() for c in low)
-            if inner and letters >= 3 and self.counts.get(low, 0) < 4 and not re.search(r"\d{2}|[a-z]\d+[a-z]*\d|^\d+[a-z]{1,3}$|^x10|[/^*%]", low) and not (word[:2].isupper() and word[-1].isdigit()) and not re.match(r"^\d+(?:st|lb|lbs|ft|in|kg|cm|mm|ml|mg|dl|fl|oz|feet|stone|thou|cells|gram|grams|pounds|inches|metres|meter|mmol|umol|micromol|percent|pct|ratio|fraction|[a-z]{0,2}pa|litres|liters|celsius|torr|mmhg|gm|kgs|kilos|mval|meq)", low):
+            if inner and letters >= 3 and self.counts.get(low, self.beyond) <= self.code and not re.search(r"\d{2}|[a-z]\d+[a-z]*\d|^\d+[a-z]{1,3}$|^x10|[/^*%]", low) and not (word[:2].isupper() and word[-1].isdigit()) and not re.match(r"^\d+(?:st|lb|lbs|ft|in|kg|cm|mm|ml|mg|dl|fl|oz|feet|stone|thou|cells|gram|grams|pounds|inches|metres|meter|mmol|umol|micromol|percent|pct|ratio|fraction|[a-z]{0,2}pa|litres|liters|celsius|torr|mmhg|gm|kgs|kilos|mval|meq)", low):
                 return low, inner.start()
             return None
         return meant, next((i for i, (a, b) in enumerate(zip(low, meant)) if a != b), min(len(low), len(meant)))
@@ -242,7 +255,7 @@ class Reader:
             return whole > kept
         if mark != "-":
             return True
-        known = self.counts.get(last, 0) >= 50 and self.counts.get(first, 0) >= 50
+        known = min(self.counts.get(last, 0), self.counts.get(first, 0)) >= self.part > 0
         return not known
 
     def judge(self, text: str, header: str | None) -> tuple[list[str], set[int], dict[int, str], dict[int, list]]:
@@ -402,11 +415,11 @@ def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives:
 
 
 def learn(texts: DataFrame, column: str = "text") -> tuple[dict[str, int], dict[str, int], np.ndarray, np.ndarray]:
-    """The model of a corpus: counts of its known words, and vectors of the most frequent."""
-    top = word_counts(texts, column).where(F.col("n") >= MIN_COUNT).orderBy(F.desc("n"), "word").limit(MAX_WORDS)
+    """The model of a corpus: counts of its words, and vectors of the most frequent."""
+    top = word_counts(texts, column).orderBy(F.desc("n"), "word").limit(MAX_WORDS)
     counts = {r.word: r.n for r in top.collect()}
     vocabulary = [w for w in list(counts) if "-" not in w][:VECTOR_WORDS]
-    pairs = pair_counts(texts, vocabulary, column).where("n >= 2").toPandas()
+    pairs = pair_counts(texts, vocabulary, column).toPandas().sort_values(["a", "b"])  # in order, so that a run can be repeated
     centre, around = train(pairs["a"].to_numpy(), pairs["b"].to_numpy(), pairs["n"].to_numpy(), len(vocabulary))
     return counts, {w: i for i, w in enumerate(vocabulary)}, centre.astype("float32"), around.astype("float32")
 

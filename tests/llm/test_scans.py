@@ -58,3 +58,13 @@ def test_skip_gram_learns_company():
     a, b = np.array([0, 1, 0, 2, 3, 2]), np.array([1, 0, 1, 3, 2, 3])
     centre, around = scans.train(a, b, np.full(6, 50), 4, epochs=200)
     assert (centre[0] @ around[1]) > (centre[0] @ around[3])
+
+
+def test_rows_do_not_change_with_corpus_size(spark):
+    texts = [CLEAN] * 60 + [CLEAN.replace("Diagnosis", "Diagn0sis").replace("swelling", "swellmg")] * 2 + [CLEAN.replace("stable", "s+able x-ray SpO2")]
+    sections = spark.createDataFrame([], "chart_id string, section_id string, section_text string")
+    found = []
+    for times in (1, 10):
+        charts = spark.createDataFrame([(f"{i}-{k}", t) for i, t in enumerate(texts) for k in range(times)], "chart_id string, raw_text string")
+        found.append({(r.record_id.split("-")[0], r.line_no, r.kind) for r in scans.find_noise(charts, sections).collect()})
+    assert found[0] == found[1] == {(str(i), 1, "misread") for i in (60, 61, 62)}
