@@ -99,14 +99,14 @@ _GRAMS = (
 
 @query("with " + _DICT + ", " + _GRAMS + " select chart_id, count(*) as n_matches, count(distinct ngram) as n_terms from (select distinct g.chart_id, g.section_id, g.ngram from grams g join dict on ngram = term_normalized and length(term_normalized) >= 2) m group by 1")
 def dict_exact_counts(spark, d):
-    grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"), 4)
+    grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"))
     hits = dictionary_match.match_exact(grams, _dictionary(spark, d))
     return hits.select("chart_id", "section_id", "matched_term").distinct().groupBy("chart_id").agg(F.count("*").alias("n_matches"), F.countDistinct("matched_term").alias("n_terms"))
 
 
 @query()
 def dict_fuzzy_pairs(spark, d):
-    grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"), 4)
+    grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"))
     return dictionary_match.fuzzy_pairs(grams, _dictionary(spark, d))
 
 

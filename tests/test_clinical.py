@@ -146,3 +146,14 @@ def test_lookup_join_with_hot_key(spark):
     lexicon = rows.groupBy("k").agg(F.count("*").alias("n"))
     out = lookup_join(rows, lexicon, "k", hot_keys(lexicon, "k"))
     assert out.count() == 1000 and out.where("k = 'hot'").select("n").distinct().head()[0] == 334
+
+
+def test_queries_reach_terms_of_five_words(spark, tmp_path):
+    from notecode.plans.reference import QUERIES
+
+    concepts = [("C1", "DISO", "fracture of neck of femur", ["pain"])]
+    spark.createDataFrame(concepts, "cui string, semantic_group string, preferred_name string, synonyms array<string>").write.parquet(f"{tmp_path}/umls_concepts.parquet")
+    parts = [("c", "s", "Seen with fracture of neck of femur today."), ("d", "t", "Old fracture of neck of femor.")]
+    spark.createDataFrame(parts, "chart_id string, section_id string, section_text string").write.parquet(f"{tmp_path}/document_sections.parquet")
+    assert [tuple(r) for r in QUERIES["dict_exact_counts"](spark, str(tmp_path)).collect()] == [("c", 1, 1)]
+    assert [tuple(r)[:2] for r in QUERIES["dict_fuzzy_pairs"](spark, str(tmp_path)).collect()] == [("fracture of neck of femor", "fracture of neck of femur")]
