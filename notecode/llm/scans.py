@@ -2,8 +2,9 @@
 
 Method: words are counted over the whole corpus, skip-gram vectors are learned for the
 frequent ones, and rare words are linked to frequent words that differ from them by glyph
-confusions of optical character recognition only. A link is taken where the frequent
-word fits the words around it better than chance. Then page furniture is removed, words
+confusions of optical character recognition only. Among a word's links the
+one that fits the words around it best is taken, if its count, weighed by that fit against
+chance, still exceeds the rare word's by the ratio. Then page furniture is removed, words
 broken at line ends are joined and the lines are reflowed into paragraphs.
 
 The skip-gram model with negative sampling is trained on the corpus' counts of word pairs
@@ -45,6 +46,8 @@ ODD_RATIO = 4
 #: resemble no word, numbers with letters, and the parts of a compound.
 CODES, NUMBERS, PARTS = 0.75, 0.9, 0.95
 
+#: Noise words per word pair in training; a pair that meets as often as by chance has log odds of -log of it.
+NEGATIVES = 5
 #: Least mean log odds of a correction of a short word among its neighbours.
 LEAST_FIT = -2.5
 
@@ -164,7 +167,7 @@ class Reader:
         got = self.memo.get(word)
         if got is None:
             own = self.counts.get(word, self.beyond)
-            least = max(1, own * (ODD_RATIO if self.odd(word) else LONG_RATIO if len(word) >= 8 else RATIO))
+            least = max(1, own * self.ratio(word))
             seen = {word}
             if least <= self.top:
                 for once in self._edits(word):
@@ -182,6 +185,9 @@ class Reader:
             self.memo[word] = got
         return got
 
+    def ratio(self, low: str) -> int:
+        return ODD_RATIO if self.odd(low) else LONG_RATIO if len(low) >= 8 else RATIO
+
     @staticmethod
     def odd(low: str) -> bool:
         """Whether a word has glyphs that words do not have."""
@@ -195,12 +201,12 @@ class Reader:
                 yield word[:at] + meant + word[at + len(read) :]
                 at = word.find(read, at + 1)
 
-    def fits(self, word: str, context: list[str]) -> float:
-        """How well a word goes with the words around it: mean log odds of the skip-gram model, 0 where nothing is known."""
+    def fits(self, word: str, context: list[str]) -> float | None:
+        """How well a word goes with the words around it: mean log odds of the skip-gram model, None where nothing is known."""
         i = self.ids.get(word)
         known = [self.ids[c] for c in context if c in self.ids]
         if i is None or not known:
-            return 0.0
+            return None
         return float((self.around[known] @ self.centre[i]).mean())
 
     def correct(self, word: str, context: list[str]) -> str | None:
@@ -217,9 +223,17 @@ class Reader:
         if odd and sum(c.isalpha() for c in low) < 2:
             return None
         scored = [(self.fits(w, context), w) for w in links]
-        best = max(scored)
-        # Short words of letters only are near many words: they must go with their company.
-        return best[1] if odd or len(low) >= 6 or best[0] > LEAST_FIT else None
+        known = [(fit, w) for fit, w in scored if fit is not None]
+        if known:
+            fit, best = max(known)
+            # How often the word stands in such company, by its count and its fit against chance.
+            expected = self.counts[best] * NEGATIVES * float(np.exp(fit))
+            if expected >= self.ratio(low) * self.counts.get(low, self.beyond) and (odd or len(low) >= 6 or fit > LEAST_FIT):
+                return best
+        # Words without a vector or company come after those with them, the most frequent first; short words
+        # of letters only are near many words: they must go with their company.
+        rest = [w for fit, w in scored if fit is None]
+        return rest[0] if rest and (odd or len(low) >= 6) else None
 
     def misread(self, word: str, context: list[str]) -> tuple[str, int] | None:
         """(word meant, place of the first difference) of a misread word or number."""
@@ -380,7 +394,7 @@ def pair_counts(texts: DataFrame, vocabulary: list[str], column: str = "text") -
     return rows.mapInPandas(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives: int = 5, epochs: int = 12, rate: float = 0.2, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def train(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int, *, negatives: int = NEGATIVES, epochs: int = 12, rate: float = 0.2, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Skip-gram vectors with negative sampling from pair counts: (centre, around).
 
     The objective depends on the corpus through the pair counts only, so batches of pairs

@@ -68,3 +68,15 @@ def test_rows_do_not_change_with_corpus_size(spark):
         charts = spark.createDataFrame([(f"{i}-{k}", t) for i, t in enumerate(texts) for k in range(times)], "chart_id string, raw_text string")
         found.append({(r.record_id.split("-")[0], r.line_no, r.kind) for r in scans.find_noise(charts, sections).collect()})
     assert found[0] == found[1] == {(str(i), 1, "misread") for i in (60, 61, 62)}
+
+
+def test_context_decides_where_it_is_known():
+    import numpy as np
+
+    def reader(counts, fit):
+        ids = {"sterol": 0, "diet": 1}
+        return scans.Reader(counts, ids, np.array([[1.0], [0.0]]), np.array([[0.0], [fit]]))
+
+    assert reader({"sterol": 60, "stcrol": 2}, 0.0).correct("stcrol", ["diet"]) == "sterol"
+    assert reader({"sterol": 60, "stcrol": 2}, -5.0).correct("stcrol", ["diet"]) is None
+    assert reader({"sterol": 60, "stcral": 60, "stcrol": 1}, -1.0).correct("stcrol", ["diet"]) == "sterol"
