@@ -73,7 +73,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return scans.find_noise(table(spark, d, "charts"), table(spark, d, "document_sections"))
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found, "p4_found": p4_found}
+def p4_texts(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repair_texts(table(spark, d, "charts"), table(spark, d, "document_sections"))
+
+
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found, "p4_found": p4_found, "p4_texts": p4_texts}
 
 ORACLE = {
     "p2_found": """

@@ -274,6 +274,10 @@ class Reader:
 
     def judge(self, text: str, header: str | None) -> tuple[list[str], set[int], dict[int, str], dict[int, list]]:
         """(lines, furniture, joined right-hand line by broken line, corrections by line)."""
+        return self._judge(text, header)[:4]
+
+    def _judge(self, text: str, header: str | None) -> tuple[list[str], set[int], dict[int, str], dict[int, list], dict[int, tuple]]:
+        """``judge`` and (left part, right part, word meant) of misread words broken over two lines, by broken line."""
         lines = text.split("\n")
         drop = furniture(lines, header)
         body = [i for i, x in enumerate(lines) if i not in drop and x.strip()]
@@ -281,6 +285,7 @@ class Reader:
         broken: dict[int, int] = {}
         fixes: dict[int, list] = {}
         skip_first: dict[int, int] = {}
+        halves: dict[int, tuple] = {}
         for i, x in enumerate(lines):
             words = pieces(x)
             m = _BROKEN.search(x) if i in follows else None
@@ -304,8 +309,9 @@ class Reader:
                     if got and got[0] != (a + b).lower():
                         line, at = (i, m.start("w")) if got[1] < len(a) else (follows[i], lead)
                         fixes.setdefault(line, []).append((at, 0, got[0]))
+                        halves[i] = a, b, got[0]
                     skip_first[follows[i]] = lead + len(b)
-        return lines, drop, broken, fixes
+        return lines, drop, broken, fixes, halves
 
     def _join_misread(self, left: str, right: str) -> bool:
         """A broken word that is itself misread."""
@@ -317,9 +323,13 @@ class Reader:
 
     def repair(self, text: str, header: str | None) -> str:
         """Continuous paragraphs: one per section heading and per blank-line block, furniture removed, words joined and corrected."""
-        lines, drop, broken, fixes = self.judge(text, header)
+        lines, drop, broken, fixes, halves = self._judge(text, header)
         out: list[str] = []
-        carry = ""
+        carry, half = "", None
+
+        def cased(meant: str, old: str) -> str:
+            return meant.upper() if old.isupper() and len(old) > 1 else meant[:1].upper() + meant[1:] if old[:1].isupper() else meant
+
         for i, x in enumerate(lines):
             if i in drop:
                 continue
@@ -329,15 +339,18 @@ class Reader:
             for at, n, meant in sorted(fixes.get(i, ()), reverse=True):
                 if n:
                     old = x[at : at + n]
-                    new = meant.upper() if old.isupper() and len(old) > 1 else meant[:1].upper() + meant[1:] if old[:1].isupper() else meant
-                    x = x[:at] + new + x[at + n :]
+                    x = x[:at] + cased(meant, old) + x[at + n :]
             x = x.strip()
             if carry == "join" and out:
+                if half and out[-1].endswith(half[0]) and x.startswith(half[1]):
+                    a, b, meant = half
+                    out[-1], x = out[-1][: len(out[-1]) - len(a)] + cased(meant, a + b), x[len(b) :]
                 out[-1] += x
             elif carry in ("\n", "") or _SECTION.match(x) or not out:
                 out.append(x)
             else:
                 out[-1] += " " + x
+            half = halves.get(i)
             if i in broken:
                 out[-1] = re.sub(rf"[{_HYPHEN}]\s*$", "", out[-1])
                 carry = "join"

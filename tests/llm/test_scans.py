@@ -80,3 +80,10 @@ def test_context_decides_where_it_is_known():
     assert reader({"sterol": 60, "stcrol": 2}, 0.0).correct("stcrol", ["diet"]) == "sterol"
     assert reader({"sterol": 60, "stcrol": 2}, -5.0).correct("stcrol", ["diet"]) is None
     assert reader({"sterol": 60, "stcral": 60, "stcrol": 1}, -1.0).correct("stcrol", ["diet"]) == "sterol"
+
+
+def test_repair_of_misread_words_broken_over_lines(reader):
+    from notecode.llm.queries import QUERIES
+
+    assert reader.repair("Seen with moderate swcl-\nling of the left knee. Dia-\ngn0sis remains stable.", None) == "Seen with moderate swelling of the left knee. Diagnosis remains stable."
+    assert "p4_texts" in QUERIES
