@@ -15,7 +15,7 @@ that occurs nowhere else is judged by its last two words, then by its last, if i
 stands beyond the fifth word of its unit.
 
 A text's tail mark (``...``, ``…``, also in brackets) is taken off before its final trigram
-is read, unless a text regularly ends that way. Rows of lists are complete.
+is read, unless texts regularly end that way and its words do not go on elsewhere. Rows of lists are complete.
 
 Defined results: null, empty and blank texts are not cut; identical texts count once as
 ends; repeated document rows give one row; an empty table gives none.
@@ -101,9 +101,13 @@ def find_cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     """(id, mid, n_end): every cut text with the evidence of its final trigram."""
     finals = stage(final_trigrams(docs, id_col, text_col), "finals")
     counts = stage(trigram_counts(docs, text_col), "trigrams")
-    # A unit that ends several different texts with its mark is a way to end, not a cut.
-    habits = finals.where("marked").groupBy("whole").agg(F.countDistinct("h").alias("n_whole")).where("n_whole > 2").select("whole")
-    open_ = finals.join(habits.withColumn("_habit", F.lit(True)), "whole", "left").where("_habit is null").drop("_habit")
+    # A unit that ends several different texts with its mark is a way to end, unless its words go on inside texts: then
+    # many texts were cut at the same place. The text's own end is no evidence, as below.
+    unit = ["whole", "a", "b", "c"]
+    often = stage(finals.where("marked").groupBy(*unit).agg(F.countDistinct("h").alias("n_texts")).where("n_texts > 2"), "marked-ends")
+    going_on = _judge(often, counts, ["a", "b"]).select("a", "b", "c", "mid", "ends")
+    habits = often.join(going_on, ["a", "b", "c"]).where(F.col("ends") + F.col("n_texts") - 1 > F.lit(max_end_share) * F.col("mid"))
+    open_ = finals.join(habits.select(*unit), unit, "left_anti")
     grams = stage(open_.groupBy("a", "b", "c").agg(F.countDistinct("h").alias("n_texts")), "final-trigrams")
     verdicts, rest = None, grams
     for keys in (["a", "b"], ["b"], []):

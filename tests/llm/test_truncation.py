@@ -26,3 +26,13 @@ def test_cases(spark):
 def test_long_text_and_empty_table(spark):
     assert cut(spark, [(" ".join(FULL) + " ") * 2000 + "Dressings are changed"])[2] == {0}
     assert find_cut(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_cut_at_the_same_place_are_no_habit(spark):
+    docs = [f"Header {h}.\n{FULL[2]} {FULL[0]}" for h in ["north", "south", "east", "west"] * 20]
+    docs = [f"{t} Seen by team {chr(97 + i % 26)}{chr(97 + i // 26)}." for i, t in enumerate(docs)]
+    ends = [f"Header {h}.\nDischarge is expected wi..." for h in ("north", "south", "east", "west")]
+    habits = [f"Header {h}.\nTo be continued..." for h in ("north", "south", "east", "west")]
+    rows = [(i, t, "s", "x") for i, t in enumerate(docs + ends + habits)]
+    found = {r.doc_id for r in find_cut(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {80, 81, 82, 83}
