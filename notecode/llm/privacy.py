@@ -46,7 +46,7 @@ _AT = re.compile(r" *[\[({<] ?at ?[\])}>] *| +at +(?=[\w.-]+ *(?:[\[({<] ?dot ?[
 _DOT = re.compile(r" *[\[({<] ?(?:dot|punkt|point) ?[\])}>] *|(?<=\w) +dot +(?=(?:\w+|\w+ dot \w+)\b)", re.I)
 _BREAK = re.compile(r"(?<=[^\W\d_])[-­¬‐]\s*\n\s*(?=[a-zß-ÿ])")
 _HIDDEN = re.compile("[​-‍⁠﻿­]")
-_ODD = re.compile(r"[^\x00-\x7f]|[\n\t]|[\[({<] ?at ?[\])}>]|\bdot\b|\b(?:zero|oh|nine|five|one)\b[ -](?:zero|oh|one|two|three|four|five|six|seven|eight|nine)\b", re.I)
+_ODD = re.compile(r"[^\x00-\x7f]|[\n\r\t]|[\[({<] ?at ?[\])}>]|\bdot\b|\b(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)\b[ -]*\b(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)\b", re.I)
 
 
 def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None, set[int]]:

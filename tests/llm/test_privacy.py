@@ -45,3 +45,8 @@ def test_table_functions(spark):
 def test_given_names_are_learned(spark):
     p = spark.createDataFrame([("Dr. Émeline-Or Ixgrave",), ("IXGRAVE, émeline-or",), ("Mr. Umegrave",), ("Mr. Umegrave",), (None,), ("Draveth P. Mere",), ("draveth mere",)], "provider string")
     assert set(given_names(p)) == {"émeline-or", "draveth"}
+
+
+@pytest.mark.parametrize("said", ["two three four six seven eight two three four six", "six  zero  zero  five  five  five  zero  one  six  one", "TWO - three - four - six - seven - eight - two - three - four - six"])
+def test_spelled_numbers_of_any_digits(said):
+    assert [(k, f"call {said} today"[a:b]) for k, a, b in Detector([]).find(f"call {said} today")] == [("PHONE", said)]
