@@ -17,7 +17,7 @@ def char_ngrams(text: Column, n: int) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(padded, i, F.lit(n))))
 
 
-def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5, check: Column | None = None) -> DataFrame:
+def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5) -> DataFrame:
     """(text, within..., entry, cosine) of all pairs with a cosine of ``least`` or more.
 
     N-grams weigh log(1 + entries / entries that have it); n-grams no entry has weigh as
@@ -27,9 +27,10 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     Pairs are found by prefix filtering: n-grams are ordered by weight everywhere, and the
     lightest ones of a text or entry, as long as their norm is under ``least`` of the whole,
     are not joined. The heaviest n-gram two sides share lies before the rest of both if the
-    cosine is reached, so no pair is lost while the long posting lists are not read.
-    ``check``, a condition on text and entry that pairs must meet besides, is tested before
-    the costlier exact score.
+    cosine is reached, so no pair is lost while the long posting lists are not read. What a
+    pair shares of the joined n-grams, and the most it can share of the others (they are
+    all light ones of the side that leaves out more), bounds its cosine; only pairs whose
+    bound reaches ``least`` are scored in full.
     """
     keys = [text, *within]
     total = entries.agg(F.count("*").alias("_total"))  # one row
@@ -41,20 +42,25 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     grams = spellings.select(*keys).distinct().withColumn("gram", F.explode(char_ngrams(F.col(text), n)))
     grams = grams.join(weights, "gram", "left").crossJoin(F.broadcast(total)).select(*keys, F.struct(F.coalesce("w", F.log1p("_total")).alias("w"), "gram").alias("g"))
     texts = grams.groupBy(*keys).agg(F.sort_array(F.collect_list("g")).alias("_grams"), F.sum(F.col("g.w") * F.col("g.w")).alias("_sq"))
+
     # Ascending weights: the longest beginning whose norm stays under least * norm is not joined.
     most = least * least * 0.999 * F.col("_sq")
-    step = lambda acc, g: F.struct((acc["sum"] + g["w"] * g["w"]).alias("sum"), (acc["skip"] + F.when(acc["sum"] + g["w"] * g["w"] < most, 1).otherwise(0)).alias("skip"))
-    skip = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip")), step)["skip"]
-    heavy = lambda rows, *columns: rows.withColumn("_skip", skip).select(*columns, F.explode(F.expr("slice(_grams, _skip + 1, size(_grams))")).alias("g")).select(*columns, F.col("g.gram").alias("gram"))
-    pairs = heavy(texts, *keys).join(heavy(vectors, entry, *within), ["gram", *within]).groupBy(*keys, entry).agg(F.count("*").alias("_shared"))
-    if check is not None:
-        # Bound to the count, so that it is tested once per pair and not once per shared n-gram below the aggregation.
-        pairs = pairs.where(F.when(F.col("_shared") > 0, check))
-    pairs = pairs.drop("_shared")
-    pairs = pairs.join(texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
-    vectors = vectors.select(entry, *within, F.sqrt("_sq").alias("_en"), "_grams")
+
+    def step(acc: Column, g: Column) -> Column:
+        reached = acc["sum"] + g["w"] * g["w"]
+        return F.struct(reached.alias("sum"), (acc["skip"] + F.when(reached < most, 1).otherwise(0)).alias("skip"), F.when(reached < most, reached).otherwise(acc["rest"]).alias("rest"))
+
+    def heavy(rows: DataFrame, columns: list[str], norm: str, rest: str) -> DataFrame:
+        left_out = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip"), F.lit(0.0).alias("rest")), step)
+        rows = rows.withColumn("_cut", left_out)
+        return rows.select(*columns, F.sqrt("_sq").alias(norm), F.col("_cut.rest").alias(rest), F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g")).select(*columns, norm, rest, F.col("g.gram").alias("gram"), F.col("g.w").alias(f"{norm}w"))
+
+    shared = heavy(texts, keys, "_sn", "_sr").join(heavy(vectors, [entry, *within], "_en", "_er").drop("_enw"), ["gram", *within])
+    pairs = shared.groupBy(*keys, entry).agg(F.sum(F.col("_snw") * F.col("_snw")).alias("_part"), *[F.first(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
+    pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).drop("_part", "_sr", "_er")
+    pairs = pairs.join(texts.select(*keys, F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
     dot = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.when(F.array_contains("_all", g["gram"]), g["w"] * g["w"]).otherwise(0.0))
-    scored = pairs.join(vectors, [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
+    scored = pairs.join(vectors.select(entry, *within, "_grams"), [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
     return scored.where(F.col("cosine") >= least).select(*keys, entry, "cosine")
 
 
