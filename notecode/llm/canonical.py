@@ -28,7 +28,9 @@ from ..sources.tables import stage
 
 UNMATCHED = "UNMATCHED"
 #: Least weighted cosine of a candidate.
-LEAST_COSINE = 0.3
+LEAST_COSINE = 0.35
+#: What an edit costs in the score of a candidate, next to its cosine, and the least lead of the best score.
+EDIT_COST, LEAST_MARGIN = 0.05, 0.02
 
 # Words that stand beside a name without changing it (fixed values); spaces may be missing.
 DOSE = r"\b\d+(?:[.,]\d+)? ?(?:mg|mcg|ug|g|kg|ml|l|iu|units?|tabs?|puffs?)\b"
@@ -101,7 +103,7 @@ def map_values(values: DataFrame, concepts: DataFrame) -> DataFrame:
     sounds = names.select(sound_key(F.col("name")).alias("entry"), "name", "cui")
     longest = F.broadcast(names.agg(F.max(F.length("name")).alias("_longest")))  # one row
     # Longer than every name by more than the allowed edits: out of reach of any rule below.
-    rest = stage(rest.crossJoin(longest).where(F.length("sound") <= F.col("_longest") + 4).drop("_longest").where(F.length("sound") >= 4), "unknown-forms")
+    rest = stage(rest.crossJoin(longest).where(F.length("sound") <= F.col("_longest") + 4).drop("_longest"), "unknown-forms")
     a, b = F.col("sound"), F.col("entry")
     whole = F.when(_digits(a) == _digits(b), F.levenshtein(a, b, 4))
     whole = F.when((whole >= 0) & (whole <= _allowed(F.least(F.length(a), F.length(b)))), whole.cast("double"))
@@ -110,17 +112,15 @@ def map_values(values: DataFrame, concepts: DataFrame) -> DataFrame:
     cut = F.when(short, F.levenshtein(a, start, 2))
     cut = F.when((cut >= 0) & (cut <= _allowed(F.length(a)) / 2), cut + 0.5)
     distance = F.least(whole, cut)
-    # The same without the digits, in the order of cost: tested on every pair that shares a heavy n-gram.
-    close = (F.abs(F.length(a) - F.length(b)) <= 4) & (F.levenshtein(a, b, 4) >= 0)
-    begins = (F.length(a) < F.length(b)) & (F.length(a) * 2 >= F.length(b)) & (F.levenshtein(a, start, 2) >= 0)
-    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE, check=close | begins)
+    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE)
+    # An exact check of what the index accepts: the letters that differ, and the digits.
     near = near.withColumn("d", distance).where("d is not null")
     found = rest.select("text", "sound").join(near, "sound").join(sounds, "entry")
-    per_concept = found.groupBy("text", "cui").agg(F.min("d").alias("d"), F.max("cosine").alias("cosine"))
+    per_concept = found.groupBy("text", "cui").agg(F.max(F.col("cosine") - EDIT_COST * F.col("d")).alias("score"))
     # The best concept, and the margin to the next one.
-    ranked = per_concept.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("d", F.negative("cosine").alias("c"), "cui"))).alias("r"))
+    ranked = per_concept.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("score", "cui")), asc=False).alias("r"))
     best, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    clear = second.isNull() | (second["d"] >= best["d"] + 1) | ((second["d"] > best["d"]) & (best["c"] + 0.05 <= second["c"])) | (best["c"] + 0.15 <= second["c"])
+    clear = second.isNull() | (best["score"] >= second["score"] + LEAST_MARGIN)
     fuzzy = ranked.where(clear).select("text", best["cui"].alias("cui"))
     decided = exact.unionByName(fuzzy)
     return values.select("text").join(decided, "text", "left").select("text", F.coalesce("cui", F.lit(UNMATCHED)).alias("cui"))

@@ -1,5 +1,6 @@
 import pytest
 
+from notecode.llm import canonical
 from notecode.llm.canonical import UNMATCHED, map_rows
 
 CONCEPTS = [("C1", "Juvenile phlebectasia", ["JPA-12"]), ("C2", "Tracheotrophy stage 2", None), ("C3", "Tracheotrophy stage 3", []), ("C4", "Daptostavol", ["Glimexol HCl"]), ("C5", "Relapsing laryngosis of the left side", []), ("C6", "Glucose", ["GLU"]), ("C7", "Same name", []), ("C8", "Other", ["Same name"]), (None, "Nobody", []), ("C9", None, [None])]
@@ -30,3 +31,17 @@ def test_empty(spark):
     assert map_rows(spark.createDataFrame([], SCHEMA), concepts).count() == 0
     got = map_rows(spark.createDataFrame([("e", "a name", "x", "y")], SCHEMA), concepts.limit(0)).collect()
     assert [r.cui for r in got] == [UNMATCHED]
+
+
+def test_short_names_that_sound_alike(spark):
+    concepts = spark.createDataFrame([("C1", "GLU", None), ("C2", "Serum potassium", ["K+"])], "cui string, preferred_name string, synonyms array<string>")
+    rows = spark.createDataFrame([("a", "G.L.U"), ("b", "GLLU"), ("c", "GLUU"), ("d", "GLA")], "entity_id string, entity_text string")
+    assert {r.id: r.cui for r in canonical.map_rows(rows, concepts).collect()} == {"a": "C1", "b": "C1", "c": "C1", "d": "UNMATCHED"}
+
+
+def test_cosine_decides(spark, monkeypatch):
+    concepts = spark.createDataFrame([("C1", "Chondrolithiasis", None), ("C2", "Gingivotomy", None)], "cui string, preferred_name string, synonyms array<string>")
+    rows = spark.createDataFrame([("a", "Chondrolithiasys"), ("b", "Cohndrolihtiasis")], "entity_id string, entity_text string")
+    assert {r.id: r.cui for r in canonical.map_rows(rows, concepts).collect()}["a"] == "C1"
+    monkeypatch.setattr(canonical, "LEAST_COSINE", 0.9)
+    assert {r.id: r.cui for r in canonical.map_rows(rows, concepts).collect()} == {"a": "C1", "b": "UNMATCHED"}
