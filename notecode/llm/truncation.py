@@ -5,14 +5,14 @@ their ends, join each text's final trigram to the counts, and flag the text if i
 trigram goes on inside other texts but almost never ends anything.
 
 Texts are split into units at line breaks and after sentence ends; digits are one symbol;
-the two words before a unit's first word are marks, so a closing line is told from the
-same words inside a sentence. Distinct units are counted first and their trigrams after,
+the two words before a unit's first word are marks, and trigrams at a unit's beginning are
+told from the same words inside a sentence. Distinct units are counted first and their trigrams after,
 weighted by the count, so the shuffle carries distinct material.
 
 A final word that was itself cut is compared as the beginning of words: in the context of
 its two predecessors, all words that start with it count as going on. A final trigram
-that occurs nowhere else is judged by its last two words, then by its last, if it
-stands beyond the fifth word of its unit.
+that occurs nowhere else is judged by its last two words, then by its last, unless it
+begins its unit: rare closing lines are complete.
 
 A text's tail mark (``...``, ``…``, also in brackets) is taken off before its final trigram
 is read, unless texts regularly end that way and its words do not go on elsewhere. Rows of lists are complete.
@@ -43,40 +43,49 @@ def _units(text: Column) -> Column:
     return F.filter(parts, lambda u: u != "")
 
 
-def _grams(unit: Column) -> Column:
-    """Array of (a, b, c, more) over the words of a unit; ``more``: the unit goes on after c.
+def _words(unit: Column) -> Column:
+    """The words of a unit behind two marks. To be put into a column of its own: the trigrams read it once per word."""
+    return F.concat(F.array(F.lit("¶"), F.lit("¶")), F.split(unit, " "))
 
-    Up to the fifth word, ``a`` keeps the unit's beginning, so that a name standing alone as
-    a closing line is not taken for the same name inside a sentence.
+
+def _grams(w: Column) -> Column:
+    """Array of (a, b, c, more) over a column of words; ``more``: the unit goes on after c.
+
+    A trigram that begins with the first or second word of its unit has a mark at its first
+    word: a name alone on a closing line is not the same name inside a sentence.
     """
-    w = F.concat(F.array(F.lit("¶"), F.lit("¶")), F.split(unit, " "))
-    first = lambda i: F.when(i <= 6, F.array_join(F.slice(w, 2, i - 2), " ")).otherwise(F.get(w, i - 2))
+    first = lambda i: F.when(i <= 5, F.concat(F.lit("¶"), F.get(w, i - 2))).otherwise(F.get(w, i - 2))
     return F.transform(F.sequence(F.lit(2), F.size(w) - 1), lambda i: F.struct(first(i).alias("a"), F.get(w, i - 1).alias("b"), F.get(w, i).alias("c"), (i < F.size(w) - 1).alias("more")))
 
 
+def _last_unit(line: Column) -> Column:
+    """The last sentence of a line, as ``_units`` gives it; null if there is none."""
+    last = F.regexp_extract(F.regexp_replace(line, r"\p{N}+", "0"), r"(?s)^(?:.*[.!?][\"”»')]*[^\S\n]+)?(.*)$", 1)
+    return F.nullif(F.trim(F.regexp_replace(last, _SPACE, " ")), F.lit(""))
+
+
 def final_trigrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, a, b, c, marked, whole): the final trigram of every text that is not blank and does not end in a list row."""
     whole = F.trim(F.col(text_col), F.lit(_BLANK))
     d = docs.select(F.col(id_col).alias("id"), whole.alias("t")).where(F.length("t") > 0)
-    d = d.withColumn("h", F.xxhash64("t")).withColumn("marked", F.col("t").rlike(MARK))
     # Only the text from its last line on matters for the end.
-    tail = F.substring_index("t", "\n", -1)
-    d = d.select("id", "h", "marked", tail.alias("line"), F.element_at(F.filter(_units(tail), lambda u: u != ""), -1).alias("whole"))
+    d = d.select("id", F.xxhash64("t").alias("h"), F.substring_index(F.translate("t", "\r", "\n"), "\n", -1).alias("line"))
     row = F.col("line").rlike(r"^\s*(?:[-*•·–]|\p{N}+[.)])\s") & ~F.col("line").rlike(r"^\s*--")
-    d = d.where(F.col("whole").isNotNull())
-    bare = F.trim(F.regexp_replace("line", MARK, ""), F.lit(_BLANK))
-    last = F.element_at(_units(bare), -1)
-    d = d.withColumn("unit", F.when(F.size(_units(bare)) > 0, last)).where(~row & F.col("unit").isNotNull())
-    g = F.element_at(_grams(F.col("unit")), -1)
-    return d.withColumn("g", g).select("id", "h", "marked", "whole", F.col("g.a").alias("a"), F.col("g.b").alias("b"), F.col("g.c").alias("c"))
+    d = d.where(~row).withColumn("bare", F.trim(F.regexp_replace("line", MARK, ""), F.lit(_BLANK)))
+    # Without a mark, which is most texts, the two are the same.
+    d = d.select("id", "h", (F.length("line") > F.length("bare")).alias("marked"), F.col("line"), _last_unit(F.col("bare")).alias("unit")).where("unit is not null")
+    d = d.withColumn("whole", F.when(F.col("marked"), _last_unit(F.col("line"))).otherwise(F.col("unit"))).withColumn("w", F.split("unit", " "))
+    word = lambda k: F.coalesce(F.try_element_at("w", F.lit(-k)), F.lit("¶"))
+    first = F.when(F.size("w") <= 4, F.concat(F.lit("¶"), word(3))).otherwise(word(3))
+    return d.select("id", "h", "marked", "whole", first.alias("a"), word(2).alias("b"), word(1).alias("c"))
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(a, b, c, mid, ends): over all texts, how often a trigram goes on, and how often it ends a line or sentence before the text's end."""
     t = docs.select(_units(F.col(text_col)).alias("u")).where(F.size("u") > 0)
     units = t.select(F.posexplode("u").alias("i", "unit"), F.size("u").alias("n")).select("unit", (F.col("i") < F.col("n") - 1).alias("inner"))
-    units = units.groupBy("unit").agg(F.count("*").alias("n"), F.count_if("inner").alias("inner"))
-    grams = units.select(F.explode(_grams(F.col("unit"))).alias("g"), "n", "inner")
+    units = units.groupBy("unit").agg(F.count("*").alias("n"), F.count_if("inner").alias("inner")).select(_words(F.col("unit")).alias("w"), "n", "inner")
+    grams = units.select(F.explode(_grams(F.col("w"))).alias("g"), "n", "inner")
     mid, ends = F.sum(F.when(F.col("g.more"), F.col("n")).otherwise(0)), F.sum(F.when(~F.col("g.more"), F.col("inner")).otherwise(0))
     return grams.groupBy("g.a", "g.b", "g.c").agg(mid.alias("mid"), ends.alias("ends"))
 
@@ -84,10 +93,10 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def _judge(finals: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
     """finals with (mid, ends, n_texts) of their trigram, cut to ``keys`` and c; the beginning of a longer word counts as going on."""
     stats = counts.groupBy(*keys, "c").agg(F.sum("mid").alias("mid"), F.sum("ends").alias("ends"))
-    wanted = finals.select(*keys, "c").distinct()
-    if keys:
-        stats = stats.join(wanted.select(*keys).distinct(), keys, "left_semi")
-    starts = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("c"), F.lit(40))), lambda i: F.substring(F.col("c"), F.lit(1), i)))
+    # Beginnings of the lengths that the final words in the same place have.
+    lengths = finals.groupBy(*keys).agg(F.collect_set(F.length("c")).alias("_lengths"))
+    stats = stats.join(lengths, keys) if keys else stats.crossJoin(F.broadcast(lengths))  # without keys one row, of the distinct word lengths
+    starts = F.explode(F.transform(F.filter("_lengths", lambda n: n <= F.length("c")), lambda n: F.substr(F.col("c"), F.lit(1), n)))
     longer = stats.select(*keys, F.col("c").alias("full"), starts.alias("c"), "mid", "ends").groupBy(*keys, "c")
     known = longer.agg(
         F.sum(F.when(F.col("full") == F.col("c"), F.col("mid")).otherwise(F.col("mid") + F.col("ends"))).alias("mid"),
@@ -119,7 +128,7 @@ def find_cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
         known = here.where((F.col("mid") > 0) | (F.col("ends") > 0) | (F.col("n_end") > 2))
         cut = known.where((F.col("mid") > 0) & (F.col("ends") + F.col("n_end") - 1 <= F.greatest(F.lit(max_end_share) * F.col("mid"), F.lit(0)))).select("a", "b", "c", "mid", "n_end")
         verdicts = cut if verdicts is None else verdicts.unionByName(cut)
-        # Only inside long units do fewer words decide: short ones of their own may be rare closing lines.
+        # At a unit's beginning fewer words decide nothing: short units may be rare closing lines.
         rest = rest.join(known.select("a", "b", "c"), ["a", "b", "c"], "left_anti").where(~F.col("a").startswith("¶"))
     return open_.join(verdicts, ["a", "b", "c"]).groupBy(F.col("id").alias(id_col)).agg(F.max("mid").alias("mid"), F.max("n_end").alias("n_end"))
 

@@ -36,3 +36,39 @@ def test_texts_cut_at_the_same_place_are_no_habit(spark):
     rows = [(i, t, "s", "x") for i, t in enumerate(docs + ends + habits)]
     found = {r.doc_id for r in find_cut(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found == {80, 81, 82, 83}
+
+
+def test_final_words_of_any_length(spark):
+    long = "pneumono" + "ultramicroscopic" * 4 + "osis"
+    base = [f"Number {i} was seen. The patient has {long} of the lung." for i in range(30)]
+    docs = [*base, f"Seen today. The patient has {long[:50]}"]
+    found = {r.doc_id for r in find_cut(spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")).collect()}
+    assert found == {30}
+
+
+def test_time_is_linear_in_the_length_of_a_unit(spark):
+    import time
+
+    from notecode.llm.truncation import trigram_counts
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, " ".join(f"w{i % 977}x{i % 13}" for i in range(n)))], "doc_id long, text string")
+        best = 1e9
+        for _ in range(2):
+            began = time.time()
+            trigram_counts(docs).write.format("noop").mode("overwrite").save()
+            best = min(best, time.time() - began)
+        return best
+
+    seconds(100)
+    assert seconds(32_000) < 2 * seconds(16_000) + 1
+
+
+def test_trigrams_at_the_beginning_are_their_own(spark):
+    from notecode.llm.truncation import final_trigrams, trigram_counts
+
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "x"), (3, "See one two three...")], "doc_id long, text string")
+    grams = {(r.a, r.b, r.c) for r in trigram_counts(docs).collect()}
+    assert {("¶¶", "¶", "one"), ("¶¶", "one", "two"), ("¶one", "two", "three"), ("¶two", "three", "four"), ("three", "four", "five")} <= grams
+    last = {r.id: (r.a, r.b, r.c, r.marked) for r in final_trigrams(docs).collect()}
+    assert last == {1: ("four", "five", "six", False), 2: ("¶¶", "¶", "x", False), 3: ("¶one", "two", "three", True)}
