@@ -65,6 +65,11 @@ def model_extract(charts: DataFrame, model: Model) -> DataFrame:
     return charts.where(F.length("raw_text") > 0).select("chart_id", "raw_text").mapInPandas(run, "chart_id string, extraction_result string")
 
 
+def no_answers(charts: DataFrame) -> DataFrame:
+    """The answers of no model: an empty list for every chart."""
+    return charts.select("chart_id", F.lit("[]").alias("extraction_result"))
+
+
 def parse_extraction(raw: DataFrame) -> DataFrame:
     """Entities of readable answers; fences are taken off, texts under two characters dropped."""
     body = F.regexp_replace("extraction_result", r"^\s*```(?:json)?|```\s*$", "")

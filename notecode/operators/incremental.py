@@ -16,9 +16,12 @@ Defined results:
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,67 +65,102 @@ def pending(sources: list[DataFrame], target: DataFrame, ledger: DataFrame, *, k
 class VersionedTarget:
     """A target table published version by version.
 
-    A version is written to a staging folder, moved to its final name, and then named by
-    the ``CURRENT`` file, which is replaced by one rename. Readers see the old version or
-    the new one, never a part; a run that dies before the rename leaves the target as it
-    was and its folder is ignored. Two runs publishing the same version: the second fails.
+    Every run writes its rows to a folder of its own. A version is a small file that lists the
+    folders in order; it is put into place whole, and only if no file of that number is
+    there. So readers see the old version or the new one, never a part; a run that dies
+    earlier leaves the target as it was; of two runs that publish at once one fails, with
+    nothing of the other's touched, and can be repeated. Folders are deleted by ``vacuum``
+    only, when no kept version names them and they are older than any run takes.
+
+    A key's rows are those of the last folder that has the key: a run writes as much as it
+    changed. ``compact`` writes the folders into one when reading them grows dear.
+    ``source_key`` must not be null.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._jvm = spark.sparkContext._jvm
+        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._at("").getFileSystem(self._hadoop)
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _list(self, name: str) -> list:
+        return list(self._fs.listStatus(self._at(name))) if self._fs.exists(self._at(name)) else []
 
     def current(self) -> int:
         """The published version, 0 before the first."""
-        pointer = self._path(f"{self.path}/CURRENT")
-        if not self._fs.exists(pointer):
-            return 0
-        return int(self.spark.read.text(f"{self.path}/CURRENT").head()[0])
+        return max([int(f.getPath().getName()) for f in self._list("versions") if f.getPath().getName().isdigit()], default=0)
+
+    def folders(self, version: int | None = None) -> list[str]:
+        """The folders of a version, oldest first."""
+        version = self.current() if version is None else version
+        return self.spark.read.text(f"{self.path}/versions/{version:08d}").head()[0].split(" ") if version else []
 
     def read(self, schema=None) -> DataFrame:
-        n = self.current()
-        if not n:
+        folders = self.folders()
+        if not folders:
             if schema is None:
                 raise ValueError("nothing is published yet and no schema was given")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.path}/version={n}")
+        parts = [self.spark.read.parquet(f"{self.path}/data/{f}").withColumn("_part", F.lit(k)) for k, f in enumerate(folders)]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(parts) > 1:
+            rows = rows.join(rows.groupBy("source_key").agg(F.max("_part").alias("_part")), ["source_key", "_part"])
+        return rows.drop("_part")
 
     def pending(self, source: DataFrame, key: str, version: str) -> DataFrame:
-        """Rows of ``source`` whose (key, version) the published target does not hold."""
-        rows = source.where(F.col(key).isNotNull())
-        newest = rows.groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
-        rows = rows.join(newest, (F.col(key) == F.col("_k")) & F.col(version).eqNullSafe(F.col("_v"))).drop("_k", "_v").dropDuplicates([key])
-        if not self.current():
-            return rows
-        done = self.read().select(F.col("source_key").alias("_k"), F.col("source_version").alias("_v"))
-        return rows.join(done, (F.col(key) == F.col("_k")) & F.col(version).eqNullSafe(F.col("_v")), "left_anti")
-
-    def publish(self, rows: DataFrame) -> int:
-        """Replace the target's rows of the keys in ``rows`` and publish the result as the next version."""
-        n = self.current()
-        if n:
-            kept = self.read().join(rows.select("source_key").distinct(), "source_key", "left_anti")
-            rows = kept.unionByName(rows, allowMissingColumns=True)
-        staged = self._path(f"{self.path}/_staged-{uuid.uuid4().hex}")
-        rows.write.parquet(staged.toString())
-        final = self._path(f"{self.path}/version={n + 1}")
-        if self._fs.exists(final) and self.current() > n:
-            raise RuntimeError(f"version {n + 1} was published by another run")
-        self._fs.delete(final, True)  # left by a run that died between the two renames
-        if not self._fs.rename(staged, final):
-            raise RuntimeError(f"version {n + 1} cannot be moved into place")
-        self._point_to(n + 1)
-        return n + 1
-
-    def _point_to(self, n: int) -> None:
-        jvm = self.spark.sparkContext._jvm
-        fresh = self._path(f"{self.path}/_CURRENT-{uuid.uuid4().hex}")
+        """Rows of ``source`` whose (key, version) the published target does not hold, one per key."""
+        return self.pending_rows(source, key, version).dropDuplicates([key])
+
+    def pending_rows(self, source: DataFrame, key: str, version: str) -> DataFrame:
+        """All rows of the newest version of the keys that the published target does not hold in that version."""
+        newest = source.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
+        if self.current():
+            done = self.read().select(F.col("source_key").alias("_dk"), F.col("source_version").alias("_dv"))
+            newest = newest.join(done, (F.col("_k") == F.col("_dk")) & F.col("_v").eqNullSafe(F.col("_dv")), "left_anti")
+        return source.join(newest, (F.col(key) == F.col("_k")) & F.col(version).eqNullSafe(F.col("_v"))).drop("_k", "_v")
+
+    def publish(self, rows: DataFrame, base: int | None = None) -> int:
+        """Add ``rows``, in place of what the target has of their keys, as the version after ``base`` (the current one, if not given).
+
+        Give the version that the rows were computed against: if another run has published since, this fails.
+        """
+        base = self.current() if base is None else base
+        return self._commit(base, [*self.folders(base), self._write(rows)])
+
+    def compact(self) -> int:
+        """The same rows in one folder, as the next version."""
+        base = self.current()
+        return self._commit(base, [self._write(self.read())]) if base else 0
+
+    def vacuum(self, keep: int = 2, older_than_seconds: float = 7 * 86400) -> int:
+        """Delete folders that none of the last ``keep`` versions names and no running job can still own; their number."""
+        now, last = self.current(), int(time.time() * 1000 - older_than_seconds * 1000)
+        used = {f for n in range(max(1, now - keep + 1), now + 1) for f in self.folders(n)}
+        old = [f.getPath() for f in self._list("data") if f.getPath().getName() not in used and f.getModificationTime() < last]
+        return sum(bool(self._fs.delete(p, True)) for p in old)
+
+    def _write(self, rows: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        rows.write.parquet(f"{self.path}/data/{name}")
+        return name
+
+    def _commit(self, base: int, folders: list[str]) -> int:
+        name = f"versions/{base + 1:08d}"
+        fresh = self._at(f"versions/_{uuid.uuid4().hex}")
         out = self._fs.create(fresh)
-        out.write(bytearray(str(n), "ascii"))
+        out.write(bytearray(" ".join(folders), "ascii"))
         out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(fresh, self._path(f"{self.path}/CURRENT"), options)
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                os.link(fresh.toUri().getPath(), self._at(name).toUri().getPath())  # a local rename would replace what is there
+            else:
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._hadoop)
+                context.rename(fresh, self._at(name), self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except (FileExistsError, Py4JJavaError) as e:
+            raise RuntimeError(f"version {base + 1} was published by another run") from e
+        finally:
+            self._fs.delete(fresh, False)
+        return base + 1

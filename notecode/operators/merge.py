@@ -15,6 +15,15 @@ META = ("specimen_type", "method", "timing", "value", "unit")
 COLUMNS = ("entity_id", "chart_id", "section_id", "entity_type", "entity_text", "normalized_text", "source", "source_confidence", "cui", *META, "start_offset", "end_offset", "extracted_at")
 
 
+_KINDS = {"match_score": "double", "confidence": "double", "start_offset": "int", "end_offset": "int", "extracted_at": "timestamp"}
+
+
+def with_columns(layer: DataFrame) -> DataFrame:
+    """A layer with nulls for the columns it lacks."""
+    names = [c for c in (*COLUMNS, "match_score", "confidence") if c not in ("normalized_text", "source", "source_confidence")]
+    return layer.withColumns({c: F.lit(None).cast(_KINDS.get(c, "string")) for c in names if c not in layer.columns})
+
+
 def normalize_layers(dictionary: DataFrame, ner: DataFrame, llm: DataFrame) -> DataFrame:
     """The three layers in one shape."""
     none = lambda c: F.lit(None).cast("string").alias(c)
@@ -35,27 +44,28 @@ def _best(value: str, weight: str) -> Column:
 def merge_exact(entities: DataFrame) -> DataFrame:
     """One row per chart, type and normalised text."""
     longest = F.max(F.struct(F.length("entity_text").alias("n"), F.col("entity_text").alias("t")))["t"].alias("entity_text")
+    # Both ends of the span come from one row: the surest that has a span, of those the first.
+    surest = F.max(F.when(F.col("start_offset").isNotNull(), F.struct(F.coalesce("source_confidence", F.lit(-1.0)).alias("w"), F.negative("start_offset").alias("a"), "end_offset"))).alias("_span")
     return entities.groupBy("chart_id", "entity_type", "normalized_text").agg(
         longest, F.min("section_id").alias("section_id"), F.sort_array(F.collect_set("source")).alias("sources"), F.sort_array(F.collect_set("entity_id")).alias("source_entity_ids"),
-        F.countDistinct("source").cast("int").alias("match_count"), F.max("source_confidence").alias("source_confidence"), F.max("cui").alias("cui"), *[_best(c, "source_confidence") for c in META], F.min("start_offset").alias("start_offset"), F.min("end_offset").alias("end_offset"),
-    )
+        F.countDistinct("source").cast("int").alias("match_count"), F.max("source_confidence").alias("source_confidence"), F.max("cui").alias("cui"), *[_best(c, "source_confidence") for c in META], surest,
+    ).withColumns({"start_offset": F.negative("_span.a"), "end_offset": F.col("_span.end_offset")}).drop("_span")
 
 
-def contained_texts(texts: DataFrame, column: str = "normalized_text") -> DataFrame:
-    """(long, short): every distinct text and the other texts it contains.
+def contained_texts(groups: DataFrame, within: tuple[str, ...] = ("chart_id", "entity_type"), column: str = "normalized_text") -> DataFrame:
+    """(within..., long, short): every text and the other texts of the same chart and type it contains.
 
     A short text meets only long texts that have its first characters somewhere: each text
-    is listed under its first (up to six) characters, and under every place's one to six
-    characters. Containment does not depend on the chart, so it is found once per distinct
-    text and not once per pair of rows of a chart.
+    is listed under its first (up to six) characters, and under every place's characters of
+    the lengths that such beginnings have in its chart and type.
     """
-    t = texts.select(F.col(column).alias("t")).where(F.length("t") > 0).distinct()
-    short = t.select(F.col("t").alias("short"), F.substring("t", 1, 6).alias("key"))
-    lengths = short.select(F.length("key").alias("k")).distinct()
-    places = t.select(F.col("t").alias("long"), F.explode(F.sequence(F.lit(1), F.length("t"))).alias("i"))
-    keys = places.crossJoin(F.broadcast(lengths)).where(F.col("i") + F.col("k") <= F.length("long") + 1)  # at most six lengths
-    keys = keys.select("long", F.expr("substring(long, i, k)").alias("key")).distinct()
-    return keys.join(short, "key").where((F.length("long") > F.length("short")) & F.contains("long", "short")).select("long", "short").distinct()
+    t = groups.where("chart_id is not null and entity_type is not null").select(*within, F.col(column).alias("t")).where(F.length("t") > 0).distinct()
+    short = t.select(*within, F.col("t").alias("short"), F.substring("t", 1, 6).alias("key"))
+    lengths = short.groupBy(*within).agg(F.collect_set(F.length("key")).alias("_k"))  # at most six
+    places = t.join(lengths, list(within)).select(*within, F.col("t").alias("long"), F.explode("_k").alias("k"))
+    at = F.transform(F.sequence(F.lit(1), F.length("long") - F.col("k") + 1), lambda i: F.substr(F.col("long"), i, F.col("k")))
+    keys = places.where(F.length("long") > F.col("k")).select(*within, "long", F.explode(F.array_distinct(at)).alias("key"))
+    return keys.join(short, [*within, "key"]).where((F.length("long") > F.length("short")) & F.contains("long", "short")).select(*within, "long", "short").distinct()
 
 
 def merge_containment(groups: DataFrame) -> DataFrame:
@@ -63,7 +73,7 @@ def merge_containment(groups: DataFrame) -> DataFrame:
     names = ("chart_id", "entity_type")
     pairs = contained_texts(groups)
     small = groups.select(*names, F.col("normalized_text").alias("short"), F.col("sources").alias("_s"), F.col("source_entity_ids").alias("_i"), F.col("match_count").alias("_m"))
-    hit = groups.select(*names, F.col("normalized_text").alias("long")).join(pairs, "long").join(small, [*names, "short"])
+    hit = pairs.join(small, [*names, "short"])
     gain = hit.groupBy(*names, F.col("long").alias("normalized_text")).agg(F.flatten(F.collect_list("_s")).alias("_s"), F.flatten(F.collect_list("_i")).alias("_i"), F.sum("_m").alias("_m"))
     gone = hit.select(*names, F.col("short").alias("normalized_text")).distinct()
     kept = groups.join(gone, [*names, "normalized_text"], "left_anti").join(gain, [*names, "normalized_text"], "left")
@@ -76,8 +86,9 @@ def merge_concept(groups: DataFrame) -> DataFrame:
     longest = F.max(F.struct(F.length("entity_text").alias("n"), F.col("entity_text").alias("t"), F.col("normalized_text").alias("x")))
     with_cui = groups.where("cui is not null").groupBy("chart_id", "entity_type", "cui").agg(
         longest.alias("_l"), F.min("section_id").alias("section_id"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("source_entity_ids")))).alias("source_entity_ids"),
-        F.sum("match_count").cast("int").alias("match_count"), *[_best(c, "source_confidence") for c in META], F.max("source_confidence").alias("source_confidence"), F.min("start_offset").alias("start_offset"), F.min("end_offset").alias("end_offset"),
+        F.sum("match_count").cast("int").alias("match_count"), *[_best(c, "source_confidence") for c in META], F.max("source_confidence").alias("source_confidence"), F.max(F.when(F.col("start_offset").isNotNull(), F.struct(F.coalesce("source_confidence", F.lit(-1.0)).alias("w"), F.negative("start_offset").alias("a"), "end_offset"))).alias("_span"),
     )
+    with_cui = with_cui.withColumns({"start_offset": F.negative("_span.a"), "end_offset": F.col("_span.end_offset")}).drop("_span")
     with_cui = with_cui.withColumns({"entity_text": F.col("_l.t"), "normalized_text": F.col("_l.x")}).drop("_l")
     return with_cui.unionByName(groups.where("cui is null").select(*with_cui.columns))
 
@@ -94,7 +105,8 @@ def attach_context(groups: DataFrame, sections: DataFrame) -> DataFrame:
     """Merged entities with id, score and the text of their section (its first row by order and text)."""
     first = sections.groupBy("section_id").agg(F.min(F.struct(F.coalesce("section_order", F.lit(1 << 30)).alias("o"), F.col("section_text").alias("t")))["t"].alias("entity_context"))
     scored = groups.withColumn("ensemble_confidence", ensemble_score(F.col("sources"), F.col("entity_text")))
-    out = scored.join(first, "section_id", "left")
+    # Rows without a section have nothing to join and would all meet in one task.
+    out = scored.where("section_id is not null").join(first, "section_id", "left").unionByName(scored.where("section_id is null"), allowMissingColumns=True)
     return out.withColumn("match_count", F.size(F.array_distinct("sources"))).withColumn("entity_id", stable_id("ENT-MERGED-", "chart_id", "entity_type", "normalized_text"))
 
 

@@ -71,8 +71,9 @@ def test_containment_against_brute_force(spark):
 
     rng = random.Random(3)
     texts = sorted({"".join(rng.choice("ab c") for _ in range(rng.randint(1, 10))) for _ in range(120)})
-    got = {(r.long, r.short) for r in merge.contained_texts(spark.createDataFrame([(t,) for t in texts], "normalized_text string")).collect()}
-    assert got == {(a, b) for a in texts for b in texts if len(a) > len(b) and b in a}
+    rows = [(c, "T", t) for c in ("c1", "c2") for k, t in enumerate(texts) if c == "c1" or k % 2]
+    got = {(r.chart_id, r.long, r.short) for r in merge.contained_texts(spark.createDataFrame(rows, "chart_id string, entity_type string, normalized_text string")).collect()}
+    assert got == {(c, a, b) for c, _, a in rows for d, _, b in rows if c == d and len(a) > len(b) and b in a}
 
 
 def test_codes(spark):
