@@ -60,13 +60,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(canonical_names, "text", "left_anti").select(F.col("id").alias("entity_id"), "cui").distinct()
 
 
+def _pii_texts(spark: SparkSession, d: str) -> DataFrame:
+    sources = (("charts", "chart_id", "raw_text"), ("document_sections", "section_id", "section_text"), ("merged_entities", "entity_id", "entity_context"))
+    return reduce(DataFrame.unionByName, [table(spark, d, t).select(F.col(i).alias("record_id"), F.col(c).alias("text")) for t, i, c in sources])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    charts = table(spark, d, "charts")
-    given = privacy.given_names(charts)
-    sources = ((charts, "chart_id", "raw_text"), (table(spark, d, "document_sections"), "section_id", "section_text"), (table(spark, d, "merged_entities"), "entity_id", "entity_context"))
-    parts = [rows.select(F.col(i).alias("id"), F.col(t).alias("text")) for rows, i, t in sources]
-    items = privacy.find_items(reduce(DataFrame.unionByName, parts), given, id_col="id", text_col="text")
-    return items.select("record_id", "pii_type", "start_offset").distinct()
+    items = privacy.find_items(_pii_texts(spark, d), privacy.given_names(table(spark, d, "charts")), id_col="record_id", text_col="text")
+    return privacy.each_item(items).select("record_id", "pii_type", "start_offset").distinct()
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return privacy.redact(_pii_texts(spark, d), privacy.given_names(table(spark, d, "charts")), id_col="record_id", text_col="text").select("record_id", "redacted").distinct()
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +82,7 @@ def p4_texts(spark: SparkSession, d: str) -> DataFrame:
     return scans.repair_texts(table(spark, d, "charts"), table(spark, d, "document_sections"))
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found, "p4_found": p4_found, "p4_texts": p4_texts}
+QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p7_found": p7_found, "p7_reliability": p7_reliability, "p7_agreement": p7_agreement, "p10_found": p10_found, "p10_sources": p10_sources, "p1_found": p1_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p4_found": p4_found, "p4_texts": p4_texts}
 
 ORACLE = {
     "p2_found": """
