@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from ..functions.skew import hot_keys, lookup_join
 from ..sources.tables import stage
 
+#: Members of a class that one task compares with the whole class.
+PER_TASK = 2000
 CONTEXT = ("chart_id", "section_id", "entity_type", "start_offset")
 
 
@@ -42,9 +44,10 @@ def lexicon(texts: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """
     counts = stage(texts.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("text")).agg(F.count("*").alias("n")), "texts")
     # Canonicalise once per distinct text; `key` names the text by its fields until they have ids.
-    split = counts.select("text", F.posexplode(canonical_fields(F.col("text"))).alias("at", "field"))
-    fields = stage(split.select("field").distinct().select("field", F.monotonically_increasing_id().alias("field_id")), "fields")
-    tuples = split.join(fields, "field").groupBy("text").agg(F.array_sort(F.collect_list("field_id")).alias("tuple"))
+    split = stage(counts.select("text", F.explode(canonical_fields(F.col("text"))).alias("field")), "split-texts")
+    fields = stage(split.groupBy("field").agg(F.count("*").alias("n")).select("field", "n", F.monotonically_increasing_id().alias("field_id")), "fields")
+    # A field such as a route stands in a large share of all texts: hot fields are spread.
+    tuples = lookup_join(split, fields.drop("n"), "field", hot_keys(fields, "field")).groupBy("text").agg(F.array_sort(F.collect_list("field_id")).alias("tuple"))
     tuples = stage(tuples, "tuples")
     forms = stage(tuples.select("tuple").distinct().select("tuple", F.monotonically_increasing_id().alias("form")), "forms")
     return tuples.join(forms, "tuple").select("text", "form"), hot_keys(counts, "text")
@@ -65,14 +68,17 @@ def collapse(encoded: DataFrame, context: tuple[str, ...] = CONTEXT) -> DataFram
 def copy_pairs(encoded: DataFrame, context: tuple[str, ...] = CONTEXT, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every pair of different ids in one class, smaller id first.
 
-    Only members of classes with two or more ids are joined to each other; the sort-merge
-    self-join streams its groups and adaptive execution splits a hot one.
+    Only members of classes with two or more ids are joined to each other. One side of a class
+    is dealt to as many tasks as it has ``PER_TASK`` members, the other side copied to each;
+    the copies are fewer than the pairs to be listed by that factor.
     """
     keys = [*context, "form"]
     members = stage(encoded.distinct(), "members")
-    shared = members.groupBy(*keys).agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo < _hi")
-    shared = shared.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    shared = members.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    shared = shared.select(*[F.col(k).alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / PER_TASK).cast("int").alias("_tasks"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    kept = stage(members.join(shared, same, "left_semi"), "copies")
-    pair = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    return kept.alias("a").join(kept.alias("b"), pair & (F.col("a.id") < F.col("b.id"))).select(*[F.col(f"a.{k}").alias(k) for k in keep], F.col("a.id").alias("entity_id_a"), F.col("b.id").alias("entity_id_b")).distinct()
+    kept = stage(members.join(shared, same).select("id", *keys, "_tasks"), "copies")
+    dealt = kept.withColumn("_task", F.pmod(F.xxhash64("id"), F.col("_tasks")).cast("int"))
+    copied = kept.withColumn("_task", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)))
+    pair = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]) & (F.col("a._task") == F.col("b._task"))
+    return dealt.alias("a").join(copied.alias("b"), pair & (F.col("a.id") < F.col("b.id"))).select(*[F.col(f"a.{k}").alias(k) for k in keep], F.col("a.id").alias("entity_id_a"), F.col("b.id").alias("entity_id_b")).distinct()

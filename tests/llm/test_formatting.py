@@ -38,3 +38,11 @@ def test_hot_text_against_brute_force(spark):
     got = {(r.entity_id_a, r.entity_id_b) for r in copy_pairs(encode(spark.createDataFrame(rows, SCHEMA))).collect()}
     key = lambda r: (r[1].lower().strip("!;"), r[2])
     assert got == {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and key(a) == key(b)}
+
+
+def test_classes_are_dealt_to_tasks(spark, monkeypatch):
+    from notecode.llm import formatting
+
+    monkeypatch.setattr(formatting, "PER_TASK", 7)
+    got = pairs(spark, ["hot"] * 40 + ["cold"])
+    assert got == {(a, b) for a in (f"e{i}" for i in range(40)) for b in (f"e{i}" for i in range(40)) if a < b}
