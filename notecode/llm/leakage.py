@@ -1,22 +1,23 @@
 """Problem 9: evaluation texts inside the training corpus.
 
-Method: suffix arrays over shards of the corpus; every suffix of every test item is
-looked up by binary search, which gives its longest verbatim match in the shard and all
-places of it. Texts are compared as words: maximal runs of letters and digits, without
-case and accents.
-
-A shard is one batch of documents. Its suffix array holds the positions from which at
-least ``min_words`` words of the test vocabulary follow without a break: no other
-position can start a match, so leaving them out changes nothing. The array is sorted by
-prefix doubling until the order is decided up to the longest test item.
-
-Test items are sent to the workers in blocks of bounded size; the corpus is passed once
-per block. Defined results: null, empty and short texts match nothing; a repeated item or
-document row gives the same rows once; matches never run across two texts.
+Method: suffix arrays over shards of the corpus, written once and searched as often as
+there are test items: every suffix of every item is looked up by binary search in every
+shard, which gives all places of its first words, and from these its longest verbatim
+matches. Texts are compared as words: maximal runs of letters and digits, without case
+and accents.
+
+A shard holds whole documents, up to ``SHARD_WORDS`` words (a longer document is a shard of
+its own), as 64-bit word codes that do not depend on the shard or the items, and the order
+of all its suffixes, sorted by prefix doubling.
+
+Test items are sent to the workers in blocks of bounded size; the shards, not the texts,
+are read once per block. Defined results: null, empty and short texts match nothing; a
+repeated item or document row gives the same rows once; matches never run across two texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
@@ -25,9 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import stage
+
 MIN_WORDS = 12
-#: Characters of test text that go to the workers in one block.
-BLOCK_CHARS = 8_000_000
+#: Words of a shard.
+SHARD_WORDS = 500_000
+#: Characters of test text that go to the workers in one block, and suffixes searched at once.
+BLOCK_CHARS, SUFFIXES = 8_000_000, 50_000
 _WORD = re.compile(r"[^\W_]+").findall
 
 
@@ -37,118 +42,137 @@ def words(text: str | None) -> list[str]:
         return []
     if text.isascii():
         return _WORD(text.lower())
-    text = unicodedata.normalize("NFKD", text)
-    return _WORD("".join(c for c in text if unicodedata.category(c)[0] != "M").casefold())
+    text = unicodedata.normalize("NFD", text.lower())
+    return _WORD("".join(c for c in text if unicodedata.category(c)[0] != "M"))
+
+
+def code_of(word: str) -> int:
+    """A positive 63-bit code; 0 is left for the end of a text."""
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1 or 1
 
 
-def suffix_order(tokens: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """``starts`` sorted by the ``depth`` or more tokens that follow each; ties keep text order.
+def suffix_order(tokens: np.ndarray, longest: int) -> np.ndarray:
+    """All positions of words, sorted by what follows up to the end of their text; ties keep text order.
 
-    Prefix doubling: ranks by 1, 2, 4, ... tokens. ``tokens`` ends with a 0, and 0 separates texts.
+    Prefix doubling: ranks by 1, 2, 4, ... tokens, until no text is longer. A 0 ends every text.
     """
-    rank, n, step = tokens.astype(np.int64), len(tokens), 1
-    while step < depth:
+    n = len(tokens)
+    _, rank = np.unique(tokens, return_inverse=True)
+    rank, step = rank.astype(np.int64), 1
+    while step <= longest and (n and int(rank.max()) + 1 < n):
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:]
-        key = rank * (int(rank.max()) + 1) + ahead
-        _, rank = np.unique(key, return_inverse=True)
+        _, rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)
         rank = rank.astype(np.int64)
         step *= 2
-    return starts[np.argsort(rank[starts], kind="stable")]
+    order = np.argsort(rank, kind="stable")
+    return order[tokens[order] != 0].astype(np.int32)
 
 
-def shard_matches(tokens: np.ndarray, order: np.ndarray, query: np.ndarray, min_words: int) -> tuple[int, np.ndarray]:
-    """Longest verbatim match of a test suffix in a shard, and all places that share its first ``min_words`` words."""
-    n = len(query)
+def build_shards(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(ids, bounds, tokens, suffixes): the suffix arrays of a corpus, as binary columns."""
+
+    def run(batches):
+        codes: dict[str, int] = {}
+
+        def shard(ids, parts):
+            tokens = np.concatenate([*parts, np.zeros(1, np.int64)])
+            sizes = [len(p) for p in parts]
+            bounds = np.cumsum([0, *sizes[:-1]]).astype(np.int32)
+            return {"ids": ids, "bounds": bounds.tobytes(), "tokens": tokens.tobytes(), "suffixes": suffix_order(tokens, max(sizes)).tobytes()}
+
+        ids, parts, size = [], [], 0
+        for pdf in batches:
+            for i, text in zip(pdf["id"].tolist(), pdf["text"]):
+                own = words(text)
+                for w in own:
+                    if w not in codes:
+                        codes[w] = code_of(w)
+                part = np.fromiter((codes[w] for w in own), np.int64, len(own))
+                if parts and size + len(part) > SHARD_WORDS:
+                    yield pd.DataFrame([shard(ids, parts)])
+                    ids, parts, size = [], [], 0
+                ids.append(i)
+                parts.append(np.append(part, 0))
+                size += len(part) + 1
+            if len(codes) > 1_000_000:
+                codes.clear()
+        if parts:
+            yield pd.DataFrame([shard(ids, parts)])
 
-    def side(length: int, right: bool, lo: int, hi: int) -> int:
-        want = query[:length].tolist()
-        while lo < hi:
+    docs = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
+    kind = dict(docs.dtypes)["id"]
+    return docs.mapInPandas(run, f"ids array<{kind}>, bounds binary, tokens binary, suffixes binary")
+
+
+def find_suffixes(tokens: np.ndarray, order: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``queries`` (the first words of a test suffix) the range of the suffix array that begins with it, by binary search of all at once."""
+    width = queries.shape[1]
+    padded = np.append(tokens, np.zeros(width, np.int64))
+
+    def bound(right: bool) -> np.ndarray:
+        lo, hi = np.zeros(len(queries), np.int64), np.full(len(queries), len(order), np.int64)
+        while (open_ := lo < hi).any():
             mid = (lo + hi) // 2
-            have = tokens[order[mid] : order[mid] + length].tolist()
-            if have < want or right and have == want:
-                lo = mid + 1
-            else:
-                hi = mid
+            at = order[np.minimum(mid, len(order) - 1)]
+            have = padded[at[:, None] + np.arange(width)]
+            differs = have != queries
+            first = differs.argmax(axis=1)
+            row = np.arange(len(queries))
+            less = np.where(differs[row, first], have[row, first] < queries[row, first], right)
+            lo, hi = np.where(open_ & less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
         return lo
 
-    lo = side(min_words, False, 0, len(order))
-    hi = side(min_words, True, lo, len(order))
-    if lo == hi:
-        return 0, order[:0]
-    good, bad, a, b = min_words, n + 1, lo, hi
-    while bad - good > 1:  # the longest prefix that still has a place
-        mid = (good + bad) // 2
-        x = side(mid, False, a, b)
-        y = side(mid, True, x, b)
-        good, bad, a, b = (mid, bad, x, y) if x < y else (good, mid, a, b)
-    return good, order[lo:hi]
+    return bound(False), bound(True)
 
 
-def search(corpus: DataFrame, items: list[tuple], *, id_col: str, text_col: str, min_words: int) -> DataFrame:
+def search(shards: DataFrame, items: list[tuple], *, min_words: int) -> DataFrame:
     """(doc_id, item_id, n_words, doc_word, item_word): the longest match of each pair found in one block of items."""
-    spark = corpus.sparkSession
-    split = [(i, w) for i, t in items if len(w := words(t)) >= min_words]
-    vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in split for w in ws}), 1)}
-    coded = [(i, np.array([vocabulary[w] for w in ws], np.int64)) for i, ws in split]
-    shared = spark.sparkContext.broadcast((vocabulary, coded))
+    coded = [(i, np.array([code_of(w) for w in ws], np.int64)) for i, t in items if len(ws := words(t)) >= min_words]
+    shared = shards.sparkSession.sparkContext.broadcast(coded)
 
     def run(batches):
-        known, queries = shared.value
-        depth = max([len(q) for _, q in queries], default=1)
+        queries = shared.value
+        starts = [(k, s) for k, (_, q) in enumerate(queries) for s in range(len(q) - min_words + 1)]
+        first = np.array([queries[k][1][s : s + min_words] for k, s in starts], np.int64).reshape(-1, min_words)
         for pdf in batches:
-            parts, bounds, at = [], [], 0
-            for text in pdf["text"]:
-                ids = [known.get(w, 0) for w in words(text)] if queries else []
-                parts.append(np.array([*ids, 0], np.int64))
-                bounds.append(at)
-                at += len(ids) + 1
-            tokens = np.concatenate([*parts, np.zeros(1, np.int64)])
-            zero = np.flatnonzero(tokens == 0)
-            run_left = zero[np.searchsorted(zero, np.arange(len(tokens)))] - np.arange(len(tokens))
-            starts = np.flatnonzero(run_left >= min_words)
-            rows: dict[tuple, tuple] = {}
-            if len(starts):
-                # Only the stretches around candidates enter the array.
-                keep = np.zeros(len(tokens) + 1, bool)
-                marks = np.zeros(len(tokens) + 1, np.int64)
-                np.add.at(marks, starts, 1)
-                np.add.at(marks, np.minimum(starts + min_words + 1, len(tokens)), -1)
-                keep[:-1] = (np.cumsum(marks)[:-1] > 0) | (run_left >= 0) & (np.cumsum(marks)[:-1] > 0)
-                where = np.flatnonzero(keep[:-1] | np.r_[False, keep[:-2]])
-                place = np.zeros(len(tokens), np.int64)
-                place[where] = np.arange(len(where))
-                small = np.append(tokens[where], 0)
-                order = suffix_order(small, place[starts], depth)
-                doc_of, bound = pdf["id"].tolist(), np.array(bounds)
-                for item, q in queries:
-                    for s in range(len(q) - min_words + 1):
-                        longest, places = shard_matches(small, order, q[s:], min_words)
-                        if not longest:
-                            continue
-                        for p in where[places]:
-                            d = int(np.searchsorted(bound, p, "right")) - 1
+            for ids, bounds, tokens, suffixes in zip(pdf["ids"], pdf["bounds"], pdf["tokens"], pdf["suffixes"]):
+                bounds, order = np.frombuffer(bounds, np.int32), np.frombuffer(suffixes, np.int32)
+                tokens = np.frombuffer(tokens, np.int64)
+                rows: dict[tuple, tuple] = {}
+                for at in range(0, len(starts) if len(order) else 0, SUFFIXES):
+                    lo, hi = find_suffixes(tokens, order, first[at : at + SUFFIXES])
+                    for j in np.flatnonzero(lo < hi):
+                        k, s = starts[at + j]
+                        item, q = queries[k]
+                        places = order[lo[j] : hi[j]]
+                        if s:  # a match that began a word earlier is already known, and longer
+                            before = np.where(places > 0, tokens[np.maximum(places - 1, 0)], 0)
+                            places = places[before != q[s - 1]]
+                        for p in places:
                             n = min_words
                             while s + n < len(q) and tokens[p + n] == q[s + n]:
                                 n += 1
-                            key = (doc_of[d], item)
-                            if key not in rows or rows[key][0] < n:
-                                rows[key] = (n, int(p - bound[d]), s)
-            yield pd.DataFrame([(*k, *v) for k, v in rows.items()], columns=["doc_id", "item_id", "n_words", "doc_word", "item_word"])
+                            d = int(np.searchsorted(bounds, p, "right")) - 1
+                            key = (ids[d], item)
+                            new = (n, int(p - bounds[d]), s)
+                            if key not in rows or (rows[key][0], -rows[key][1], -rows[key][2]) < (n, -new[1], -s):
+                                rows[key] = new
+                yield pd.DataFrame([(*k, *v) for k, v in rows.items()], columns=["doc_id", "item_id", "n_words", "doc_word", "item_word"])
 
-    docs = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
-    kind = dict(docs.dtypes)["id"]
-    return docs.mapInPandas(run, f"doc_id {kind}, item_id long, n_words int, doc_word int, item_word int")
+    kind = dict(shards.dtypes)["ids"][len("array<") : -1]
+    return shards.mapInPandas(run, f"doc_id {kind}, item_id long, n_words int, doc_word int, item_word int")
 
 
 def find_leaks(corpus: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The longest verbatim match of every (document, test item) that share ``min_words`` or more consecutive words."""
+    shards = stage(build_shards(corpus, id_col, text_col), "suffix-arrays")
     rows = items.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t")).where(F.col("t").isNotNull()).distinct()
     found, block, size = None, [], 0
 
     def flush():
         nonlocal found, block, size
-        part = search(corpus, block, id_col=id_col, text_col=text_col, min_words=min_words)
+        part = search(shards, block, min_words=min_words)
         found = part if found is None else found.unionByName(part)
         block, size = [], 0
 

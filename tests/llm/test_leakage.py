@@ -54,3 +54,30 @@ def test_blocks_and_reports(spark, monkeypatch):
     assert leaks.count() == 4
     assert {(r.item_id, r.n_docs, r.longest) for r in leakage.leaked_items(leaks).collect()} == {(1, 2, 14), (2, 2, 14)}
     assert [r.doc_id for r in leakage.remove_leaked(d, leaks).collect()] == [3]
+
+
+def test_suffix_arrays(spark):
+    import numpy as np
+
+    rng = random.Random(5)
+    tokens = np.array([rng.choice([0, 1, 2, 3]) for _ in range(300)] + [0, 0])
+    order = leakage.suffix_order(tokens, 300)
+    assert sorted(order) == [i for i, t in enumerate(tokens) if t]
+    ends = lambda i: tokens[i : i + list(tokens[i:]).index(0)].tolist()
+    assert [ends(i) for i in order] == sorted(ends(i) for i in range(len(tokens)) if tokens[i])
+    queries = np.array([[a, b] for a in (1, 2, 3, 9) for b in (1, 2, 3)])
+    lo, hi = leakage.find_suffixes(tokens, order, queries)
+    for q, a, b in zip(queries.tolist(), lo, hi):
+        assert sorted(order[a:b]) == [i for i in range(len(tokens) - 1) if tokens[i : i + 2].tolist() == q]
+    assert not len(leakage.suffix_order(np.zeros(3, np.int64), 0))
+
+
+def test_shards_of_any_size_give_the_same(spark, monkeypatch):
+    docs = [(i, " ".join(ITEM.split()[i % 4 :]) + f" tail {i}") for i in range(20)] + [(30, "word " * 500 + ITEM)]
+    whole = run(spark, docs, [(1, ITEM)])
+    monkeypatch.setattr(leakage, "SHARD_WORDS", 40)
+    assert run(spark, docs, [(1, ITEM)]) == whole and len(whole) == 16
+
+
+def test_words():
+    assert leakage.words("Fíve, x² ß_a") == ["five", "x²", "ß", "a"]
