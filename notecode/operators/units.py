@@ -9,8 +9,8 @@ litre of haemoglobin and giga per litre of platelets. The first of value, unit c
 entity text and context that states a unit decides; if what it states is unknown, the row
 has no result.
 
-Numbers: ``12``, ``12.5``, ``12,5``, ``1,250`` (thousands, unless that is implausible for
-the quantity while the decimal reading is not), ``1.250,5``, ``3e5``, ``3*10^5``; pairs of
+Numbers: ``12``, ``12.5``, ``12,5``, ``1,250`` (thousands or decimal, whichever is
+nearer to the quantity's other values), ``1.250,5``, ``3e5``, ``3*10^5``; pairs of
 feet and inches or stone and pounds. Ranges, bounds, estimates and words have no result.
 
 Defined results: nulls in any column give no result or fall through to the next source of
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ngrams import candidates, weighted_distance
+from ..functions.skew import hot_keys, lookup_join
 from ..sources.tables import stage
 
 #: Unit names by kind of quantity, with the factor to the kind's base unit.
@@ -98,8 +99,6 @@ COMMON: dict[str, tuple[str, float, tuple[str, ...]]] = {
 }
 #: Charge of the ion, for equivalents.
 VALENCE = {"Potassium": 1.0, "Sodium": 1.0, "Calcium": 2.0, "Magnesium": 2.0}
-#: Widest plausible value in the base of the common unit; decides only what a comma before three digits means.
-PLAUSIBLE = {"Cel": 50.0, "kg": 400.0, "cm": 260.0, "mm[Hg]": 350.0, "%": 100.0, "mL": 20000.0, "g/L": 300.0, "10*9/L": 3000.0, "mmol/L": 100.0, "umol/L": 4000.0}
 
 
 def squash(text: Column) -> Column:
@@ -162,12 +161,12 @@ def alias_dictionary(spellings: DataFrame, spark: SparkSession) -> DataFrame:
 def quantity_names(units: DataFrame) -> DataFrame:
     """(name_key, quantity columns): one row per way to name a quantity of the list."""
     spark = units.sparkSession
-    common = spark.createDataFrame([(k, b, v, list(ks), PLAUSIBLE[k]) for k, (b, v, ks) in COMMON.items()], "common_unit string, base string, per_common double, kinds array<string>, most double")
+    common = spark.createDataFrame([(k, b, v, list(ks)) for k, (b, v, ks) in COMMON.items()], "common_unit string, base string, per_common double, kinds array<string>")
     valence = spark.createDataFrame(list(VALENCE.items()), "quantity string, valence double")
     names = F.explode(F.array_union(F.array("quantity"), F.coalesce("synonyms", F.array().cast("array<string>"))))
     u = units.join(F.broadcast(common), "common_unit").join(F.broadcast(valence), "quantity", "left")
     u = u.withColumn("_name", names)
-    return u.select(squash(F.col("_name")).alias("name_key"), "quantity", "common_unit", "base", "per_common", "kinds", "most", "molar_mass", "decimals", "valence").dropDuplicates(["name_key"])
+    return u.select(squash(F.col("_name")).alias("name_key"), "quantity", "common_unit", "base", "per_common", "kinds", "molar_mass", "decimals", "valence").dropDuplicates(["name_key"])
 
 
 _NUMBER = r"\d[\d.,']*(?:[eE][+-]?\d+)?"
@@ -218,12 +217,16 @@ def convert(rows: DataFrame, units: DataFrame) -> DataFrame:
     context_unit = F.regexp_extract(stated, r"^(.*?)(?:\s+at\s+\d|\s*\(|,|;|\.(?:\s|$)|$)", 1)
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     number = number.withColumn("_spelling", F.coalesce(blank(F.col("_rest")), blank(F.col("unit")), blank(F.col("hint")), blank(context_unit))).where("_spelling is not null")
-    number = number.withColumn("key", unit_key(F.col("_spelling"))).where(F.length("key") <= 40)
+    number = number.withColumn("key", unit_key(F.col("_spelling")))
     number = stage(number.drop("entity_text", "context", "hint", "value"), "measurements")  # read twice: for the dictionary and for the join
 
     spellings = stage(number.select("key", F.explode("kinds").alias("kind")).distinct(), "unit-spellings")
     aliases = alias_dictionary(spellings, spark)
-    number = number.withColumn("kind", F.explode("kinds")).join(aliases, ["key", "kind"])
+    # A few spellings hold most rows: the join spreads them.
+    by_key = aliases.groupBy("key").agg(F.collect_list(F.struct("kind", "factor", "shift")).alias("_alias"))
+    hot = hot_keys(number.groupBy("key").agg(F.count("*").alias("n")), "key")
+    number = lookup_join(number, by_key, "key", hot).withColumn("_a", F.explode("_alias")).where(F.array_contains("kinds", F.col("_a.kind")))
+    number = number.select("*", "_a.*").drop("_alias", "_a")
     # From the unit's kind to the common unit's kind.
     across = (
         F.when(F.col("kind") == F.col("base"), 1.0)
@@ -233,7 +236,11 @@ def convert(rows: DataFrame, units: DataFrame) -> DataFrame:
     decimal, thousands = parse_number(F.col("_literal"))
     to_common = lambda x: (x * F.pow(F.lit(10.0), F.coalesce("_power", F.lit(0.0))) + F.col("shift")) * F.col("factor") * across / F.col("per_common")
     number = number.withColumn("_a", to_common(decimal)).withColumn("_b", to_common(thousands))
-    number = number.withColumn("value_common", F.when(F.col("_b").isNull() | (F.col("_b") > F.col("most")) & (F.col("_a") <= F.col("most")), F.col("_a")).otherwise(F.col("_b"))).where("value_common is not null")
+    # A comma before three digits is read as what lies nearer to the middle of the quantity's values that can be read in one way only.
+    sure = number.where("_b is null and _a > 0").groupBy("quantity").agg(F.percentile_approx(F.log("_a"), 0.5, 1000).alias("_middle"))
+    number = number.join(F.broadcast(sure), "quantity", "left")  # one row per quantity of the list
+    far = lambda c: F.abs(F.log(c) - F.col("_middle"))
+    number = number.withColumn("value_common", F.when(F.col("_b").isNull() | (far("_a") < far("_b")), F.col("_a")).otherwise(F.col("_b"))).where("value_common is not null")
     columns = ["entity_id", "quantity", "common_unit", "decimals", "value_common", F.coalesce((F.col("unit") == F.col("common_unit")) & F.col("raw_value").rlike(r"^\d+(\.\d+)?$"), F.lit(False)).alias("as_recorded")]
     return reduce(DataFrame.unionByName, [x.select(*columns) for x in (paired, number)]).distinct()
 

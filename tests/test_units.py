@@ -54,3 +54,23 @@ def test_candidates_against_brute_force(spark):
 def test_weighted_distance():
     cost = lambda x, y: 1.0
     assert weighted_distance("abc", "abc", cost) == 0 and weighted_distance("abc", "acb", cost) == 1 and weighted_distance("", "ab", cost) == 2
+
+
+def test_spellings_of_any_length(spark):
+    from notecode.operators.units import convert
+
+    units = spark.createDataFrame([("C1", "Glucose", "LAB_RESULT", ["GLU"], "mmol/L", 180.16, 2)], "cui string, quantity string, entity_type string, synonyms array<string>, common_unit string, molar_mass double, decimals int")
+    long = "m i l l i m o l   p e r   l i t r e".replace(" ", "") + "." * 40
+    rows = spark.createDataFrame([("a", "Glucose", "5.5", "millimol  per" + " " * 60 + "litre", None), ("b", "Glucose", "5.5 " + long, None, None)], "entity_id string, entity_text string, value string, unit string, entity_context string")
+    got = {r.entity_id: r.value_common for r in convert(rows, units).collect()}
+    assert got["a"] == 5.5
+
+
+def test_commas_are_read_by_the_other_values(spark):
+    from notecode.operators.units import convert
+
+    units = spark.createDataFrame([("C1", "Platelet count", "LAB_RESULT", [], "10*9/L", None, 0), ("C2", "Body weight", "VITAL_SIGN", [], "kg", None, 1)], "cui string, quantity string, entity_type string, synonyms array<string>, common_unit string, molar_mass double, decimals int")
+    rows = [(f"p{i}", "Platelet count", f"{200 + i}", "10*9/L", None) for i in range(5)] + [(f"w{i}", "Body weight", f"{60 + i}", "kg", None) for i in range(5)]
+    rows += [("p", "Platelet count", "210,000", "/uL", None), ("w", "Body weight", "61,500", "kg", None), ("g", "Body weight", "61,500", "g", None)]
+    got = {r.entity_id: r.value_common for r in convert(spark.createDataFrame(rows, "entity_id string, entity_text string, value string, unit string, entity_context string"), units).collect()}
+    assert (got["p"], got["w"], got["g"]) == (210.0, 61.5, 61.5)
