@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.clinical import is_specific, norm_term, stable_id
+from ..functions.skew import hot_keys, lookup_join
+from .feedback import ask, salvaged
 
 
 def active_entities(merged: DataFrame, assertions: DataFrame, coded: DataFrame) -> DataFrame:
@@ -23,7 +25,10 @@ def active_entities(merged: DataFrame, assertions: DataFrame, coded: DataFrame)
 
 def tier1_exact(active: DataFrame, dictionary: DataFrame) -> DataFrame:
     d = dictionary.where("source_code is not null").select("term_normalized", F.col("source").alias("match_source"), F.col("entity_type").alias("term_type"), "source_code", F.col("cui").alias("term_cui"))
-    return active.withColumn("key", norm_term(F.col("entity_text"))).join(d, F.col("key") == F.col("term_normalized")).withColumns({"tier1_confidence": F.lit(0.98), "tier1_method": F.lit("exact"), "edit_distance": F.lit(0)})
+    rows = active.withColumn("key", norm_term(F.col("entity_text"))).where("key is not null")
+    # A frequent text may hold a large share of the rows: it is spread over several tasks.
+    hot = hot_keys(rows.groupBy("key").agg(F.count("*").alias("n")), "key")
+    return lookup_join(rows, d.withColumn("key", F.col("term_normalized")), "key", hot).withColumns({"tier1_confidence": F.lit(0.98), "tier1_method": F.lit("exact"), "edit_distance": F.lit(0)})
 
 
 def tier1_fuzzy(active: DataFrame, exact: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -70,7 +75,9 @@ def resolve_loinc(matches: DataFrame, labs: DataFrame, loinc_ref: DataFrame) ->
     pairs = rest.join(ref.withColumn("word", F.split_part(norm_term(F.col("component")), F.lit(" "), F.lit(1))), "word")
     has = lambda c: F.coalesce(F.contains(F.lower("long_name"), F.lower(c)), F.lit(False)) & (F.coalesce(F.length(c), F.lit(0)) > 0)
     score = F.when(has("entity_text"), 3).otherwise(0) + F.when(has("specimen_type"), 2).otherwise(0) + F.when(has("method"), 2).otherwise(0) + F.when(has("timing"), 1).otherwise(0)
-    axes = pairs.withColumn("score", score).where("score > 0").select("entity_id", "entity_text", "loinc_code", "long_name", F.round(0.88 + 0.015 * F.col("score"), 3).alias("confidence"), F.lit(0).alias("edit_distance"), F.lit("LOINC axes").alias("match_source"))
+    # Timing adds to the score but does not admit a pair.
+    agrees = has("entity_text") | has("specimen_type") | has("method")
+    axes = pairs.withColumn("score", score).where(agrees).select("entity_id", "entity_text", "loinc_code", "long_name", F.round(0.88 + 0.015 * F.col("score"), 3).alias("confidence"), F.lit(0).alias("edit_distance"), F.lit("LOINC axes").alias("match_source"))
     return _best(own.unionByName(axes), "loinc_code")
 
 
@@ -81,11 +88,36 @@ def unresolved(active: DataFrame, icd: DataFrame, loinc: DataFrame) -> DataFrame
     return dx.unionByName(labs)
 
 
+#: Entities in one prompt, about.
+PROMPT_ENTITIES = 200
+
+
 def chart_prompts(rows: DataFrame) -> DataFrame:
-    """One row per chart: a line per entity, in id order; nulls are empty fields, so lines and ids stay aligned."""
+    """Prompts of a chart with a line per entity, in id order; nulls are empty fields, so lines and ids stay aligned.
+
+    A chart with more than ``PROMPT_ENTITIES`` entities has as many prompts as it takes: its
+    entities are dealt out by a hash of their id, so that no prompt and no task grows with the chart.
+    """
     line = F.concat_ws(" | ", *[F.coalesce(c, F.lit("")) for c in ("entity_id", "entity_type", "entity_text", "value", "unit")])
-    packed = rows.groupBy("chart_id").agg(F.array_sort(F.collect_list(F.struct("entity_id", line.alias("line")))).alias("p"))
-    return packed.select("chart_id", F.transform("p", lambda x: x["entity_id"]).alias("entity_ids"), F.array_join(F.transform("p", lambda x: F.concat(F.lit("- "), x["line"])), "\n").alias("prompt"), F.size("p").alias("n_entities"))
+    parts = rows.groupBy("chart_id").agg(F.ceil(F.count("*") / PROMPT_ENTITIES).alias("_parts"))
+    dealt = F.pmod(F.conv(F.substring(F.md5("entity_id"), 1, 8), 16, 10).cast("long"), F.col("_parts"))
+    packed = rows.join(parts, "chart_id").withColumn("part", dealt.cast("int")).groupBy("chart_id", "part").agg(F.array_sort(F.collect_list(F.struct("entity_id", line.alias("line")))).alias("p"))
+    return packed.select("chart_id", "part", F.transform("p", lambda x: x["entity_id"]).alias("entity_ids"), F.array_join(F.transform("p", lambda x: F.concat(F.lit("- "), x["line"])), "\n").alias("prompt"), F.size("p").alias("n_entities"))
+
+
+def tier1_all(exact: DataFrame, fuzzy: DataFrame) -> DataFrame:
+    """Exact and fuzzy matches in one shape."""
+    columns = ["entity_id", "chart_id", "entity_type", "entity_text", "term_normalized", "match_source", "term_type", "source_code", "term_cui", "tier1_confidence", "tier1_method", "edit_distance"]
+    return exact.select(*columns).unionByName(fuzzy.select(*columns))
+
+
+INSTRUCTIONS = "Assign the most specific billable ICD-10-CM code to each diagnosis and the fitting LOINC code to each lab result below. Answer with a JSON array of entity_id, code, description, confidence (0 to 1), reasoning.\n\n"
+
+
+def model_code(prompts: DataFrame, model) -> DataFrame:
+    """(chart_id, part, entity_ids, coding_result): one model call per prompt; ``model.answer`` turns prompts into JSON arrays."""
+    asked = ask(prompts.withColumn("prompt", F.concat(F.lit(INSTRUCTIONS), "prompt")), model, answer="coding_result")
+    return asked.select("chart_id", "part", "entity_ids", "coding_result")
 
 
 ANSWER = "array<struct<entity_id string, code string, description string, confidence string, reasoning string>>"
@@ -93,8 +125,7 @@ ANSWER = "array<struct<entity_id string, code string, description string, confid
 
 def parse_codes(raw: DataFrame) -> DataFrame:
     """Answers of a model by the entity id they echo, by position where it is missing; unreadable answers give no rows."""
-    body = F.regexp_replace("coding_result", r"^\s*```(?:json)?|```\s*$", "")
-    rows = raw.select("chart_id", "entity_ids", F.from_json(body, ANSWER).alias("a")).select("chart_id", "entity_ids", F.posexplode("a").alias("pos", "x"))
+    rows = raw.select("chart_id", "entity_ids", salvaged(F.col("coding_result"), ANSWER).alias("a")).select("chart_id", "entity_ids", F.posexplode("a").alias("pos", "x"))
     asked = F.coalesce(F.when(F.array_contains("entity_ids", F.col("x.entity_id")), F.col("x.entity_id")), F.when(F.col("x.entity_id").isNull(), F.get("entity_ids", F.col("pos"))))
     confidence = F.coalesce(F.expr("try_cast(x.confidence as double)"), F.lit(0.75))
     return rows.select("chart_id", asked.alias("entity_id"), F.col("x.code").alias("code"), F.col("x.description").alias("description"), confidence.alias("confidence"), F.col("x.reasoning").alias("reasoning")).where("entity_id is not null and code is not null")

@@ -117,3 +117,10 @@ def merge_layers(dictionary: DataFrame, ner: DataFrame, llm: DataFrame, sections
 
 def source_group(sources: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(sources)), " + ")
+
+
+def source_category(sources: Column) -> Column:
+    """Whether an entity comes from the dictionary, from a model, or from both."""
+    has = lambda k: F.array_contains(sources, k)
+    model = has("llm") | has("ner")
+    return F.when(has("dictionary") & model, "both").when(has("dictionary"), "dictionary_only").when(has("llm"), "llm_only").when(has("ner"), "ner_only").otherwise("other")

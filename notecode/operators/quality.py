@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -56,17 +58,24 @@ def negation_by_section(assertions: DataFrame, entities: DataFrame, sections: Da
 
 
 def specificity_levels(mappings: DataFrame, code: str = "code") -> DataFrame:
+    """Codes by the level of detail their length (with the dot) stands for."""
     n = F.length(code)
-    level = F.when(n <= 3, "category").when(n <= 5, "subcategory").when(n <= 6, "detailed").otherwise("full")
-    g = mappings.where(F.col(code).isNotNull()).groupBy(level.alias("level")).agg(F.count("*").alias("n"))
-    return g.withColumn("pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(W.partitionBy()), 2))
+    level = F.when(n <= 4, "category (3-4 char)").when(n <= 5, "subcategory (5 char)").when(n <= 6, "specific (6 char)").otherwise("most_specific (7+ char)")
+    g = mappings.where(F.col(code).isNotNull()).groupBy(level.alias("specificity_level")).agg(F.count("*").alias("code_count"), F.round(F.round(F.avg("confidence"), 10), 4).alias("avg_confidence"))
+    return g.withColumn("pct_of_total", F.round(F.col("code_count") * 100.0 / F.sum("code_count").over(W.partitionBy()), 2))
+
 
+def code_validity(mappings: dict[str, DataFrame], references: dict[str, DataFrame]) -> DataFrame:
+    """One row per code system: how many assigned codes its reference has."""
 
-def code_validity(mappings: DataFrame, reference: DataFrame) -> DataFrame:
-    """Mappings by whether the reference has their code, and as billable."""
-    r = reference.groupBy("code").agg(F.max("is_billable").alias("is_billable"))
-    state = F.when(F.col("is_billable").isNull(), "unknown").when(F.col("is_billable"), "billable").otherwise("not billable")
-    return mappings.join(r, "code", "left").groupBy("code_type", state.alias("validity")).agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 4).alias("avg_confidence"))
+    def arm(system: str) -> DataFrame:
+        known = references[system].select(F.col("code").alias("_ref")).distinct()
+        j = mappings[system].where("code is not null").join(known, F.col("code") == F.col("_ref"), "left")
+        out = j.agg(F.count("*").alias("total_assigned"), F.count("_ref").alias("valid_codes"))
+        out = out.withColumn("invalid_codes", F.col("total_assigned") - F.col("valid_codes"))
+        return out.select(F.lit(system).alias("code_system"), "*", F.round(F.col("valid_codes") * 100.0 / F.nullif(F.col("total_assigned"), F.lit(0)), 2).alias("validity_pct"))
+
+    return reduce(DataFrame.unionByName, map(arm, mappings))
 
 
 def code_quality(mappings: DataFrame) -> DataFrame:
@@ -75,6 +84,43 @@ def code_quality(mappings: DataFrame) -> DataFrame:
     return mappings.groupBy("code_type").agg(F.count("*").alias("total"), F.count_if(c >= 0.9).alias("high"), F.count_if((c >= 0.7) & (c < 0.9)).alias("medium"), F.count_if(c < 0.7).alias("low"), F.count_if(F.col("resolution_path") == "ONTOLOGY_DIRECT").alias("direct"), F.countDistinct("code").alias("n_codes"), F.round(F.avg("confidence"), 4).alias("avg_confidence"))
 
 
-def multipass_agreement(mappings: DataFrame) -> DataFrame:
-    path = F.col("resolution_path")
-    return mappings.groupBy("code_type").agg(F.count("*").alias("total"), F.count_if(path == "R1_R2_AGREE").alias("agreed"), F.count_if(path.startswith("ARBITER")).alias("arbitrated"), F.count_if(path == "DISPUTED_UNRESOLVED").alias("disputed"))
+def multipass_agreement(validation: DataFrame) -> DataFrame:
+    """Reviews of each round and role by their result."""
+    named = [F.count_if(F.col("validation_result") == r).alias(r) for r in ("approved", "rejected", "modified")]
+    g = validation.groupBy("validation_round", "validation_role").agg(F.count("*").alias("total_reviews"), *named)
+    return g.withColumn("approval_rate_pct", F.round(F.col("approved") * 100.0 / F.nullif(F.col("total_reviews"), F.lit(0)), 2))
+
+
+def executive_summary(charts: DataFrame, merged: DataFrame, assertions: DataFrame, icd: DataFrame, loinc: DataFrame, metrics: DataFrame, patterns: DataFrame) -> DataFrame:
+    """One row over all tables; a metric without rows is null, and so are the parts of missing tables if they are given empty."""
+    share = lambda condition, total, digits=1: F.round(F.count_if(condition) * 100.0 / F.nullif(total, F.lit(0)), digits)
+    n = F.count("*")
+    parts = [
+        charts.agg(n.alias("charts_processed")),
+        merged.agg(n.alias("total_entities"), *[share(F.coalesce(F.array_contains("sources", k), F.lit(False)), n).alias(f"{a}_pct") for k, a in (("dictionary", "dict"), ("ner", "ner"), ("llm", "llm"))], F.round(F.round(F.avg("ensemble_confidence"), 10) * 100, 1).alias("overall_confidence_pct")),
+        assertions.agg(share(F.col("negation_detected"), n).alias("negated_pct"), share(F.col("temporality") == "HISTORICAL", n).alias("historical_pct"), share(F.col("experiencer") == "FAMILY_MEMBER", n).alias("family_pct")),
+        icd.where("code is not null").agg(F.countDistinct("code").alias("icd10_count")),
+        loinc.where("code is not null").agg(F.countDistinct("code").alias("loinc_count")),
+        metrics.where("metric_scope = 'overall'").agg(F.max(F.struct("run_timestamp", "run_id", "recall_score")).alias("_m")).select(F.col("_m.recall_score").alias("latest_recall")),
+        top_open_patterns(patterns, 5).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "pattern_type", "pattern_id", "severity"))), lambda p: F.concat(p["pattern_type"], F.lit(" ("), p["severity"], F.lit(")"))), "; ").alias("top_errors")),
+    ]
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # one row each
+
+
+def severity_rank(severity: Column) -> Column:
+    return F.when(severity == "HIGH", 1).when(severity == "MEDIUM", 2).otherwise(3)
+
+
+def open_patterns(patterns: DataFrame) -> DataFrame:
+    """Unresolved patterns, the gravest first."""
+    return patterns.where("resolved_at is null").orderBy(severity_rank(F.col("severity")), "pattern_id")
+
+
+def top_open_patterns(patterns: DataFrame, k: int) -> DataFrame:
+    return patterns.where("resolved_at is null").withColumn("rank", severity_rank(F.col("severity"))).orderBy("rank", "pattern_type", "pattern_id").limit(k)
+
+
+def quality_trend(metrics: DataFrame) -> DataFrame:
+    """Daily averages and sums of each metric scope and value."""
+    mean = lambda c: F.round(F.avg(f"{c}_score"), 6).alias(f"avg_{c}")
+    return metrics.groupBy(F.to_date("run_timestamp").alias("run_date"), "metric_scope", "scope_value").agg(mean("recall"), mean("precision"), mean("f1"), F.sum("true_positives").alias("total_tp"), F.sum("false_negatives").alias("total_fn"))

@@ -139,3 +139,154 @@ def chart_lineage(chart_id: str, charts: DataFrame, sections: DataFrame, merged:
 def top_entities(merged: DataFrame, k: int = 20) -> DataFrame:
     g = merged.where("entity_text is not null").groupBy("entity_text", "entity_type").agg(F.count("*").alias("n"), F.countDistinct("chart_id").alias("n_charts"))
     return g.orderBy(F.desc("n"), "entity_text", "entity_type").limit(k)
+
+
+# --- what the application shows, over code mappings of both systems ---
+#
+# ``icd`` and ``loinc`` have mapping_id, chart_id, entity_id, code, confidence, reasoning, resolution_path and created_at,
+# ``loinc`` method and specimen_type besides; ``*_codes`` have code and display_name, those of LOINC component, method and system.
+
+
+def serving_view(mappings: DataFrame, **renamed: str) -> DataFrame:
+    """The mappings under the names the application uses: ``serving_view(m, reasoning="r1_reasoning")``; other columns stay."""
+    return mappings.withColumnsRenamed({old: new for new, old in renamed.items()})
+
+
+def both_systems(icd: DataFrame, loinc: DataFrame) -> DataFrame:
+    columns = ["mapping_id", "chart_id", "entity_id", "code", "confidence", "reasoning", "resolution_path", "created_at"]
+    return icd.select(*columns, F.lit("ICD-10").alias("code_type")).unionByName(loinc.select(*columns, F.lit("LOINC").alias("code_type")))
+
+
+def stats(charts: DataFrame, merged: DataFrame, icd: DataFrame, loinc: DataFrame) -> DataFrame:
+    """One row of totals."""
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    parts = [charts.agg(F.count("*").alias("total_charts"), F.max("ingested_at").alias("last_refreshed")), n(merged, "total_entities"), n(icd, "total_icd10_mappings"), n(loinc, "total_loinc_mappings")]
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # one row each
+
+
+def latest_stats(snapshots: DataFrame) -> DataFrame:
+    """The newest row of a table of totals; zeros if it has none."""
+    newest = snapshots.agg(F.max(F.struct("last_refreshed", *[c for c in snapshots.columns if c != "last_refreshed"])).alias("s")).select("s.*")
+    return newest.withColumns({c: F.coalesce(c, F.lit(0)) for c in newest.columns if c.startswith("total_")})
+
+
+def entity_types(merged: DataFrame) -> DataFrame:
+    return merged.groupBy(F.col("entity_type").alias("name")).agg(F.count("*").alias("value"))
+
+
+def _described(mappings: DataFrame, merged: DataFrame, *codes: tuple[str, DataFrame]) -> DataFrame:
+    """Mappings with their entity's text and type and their code's name, as far as there are any."""
+    e = merged.groupBy(F.col("entity_id").alias("_e")).agg(F.min(F.struct("entity_text", "entity_type")).alias("_x"))
+    names = reduce(DataFrame.unionByName, [c.groupBy(F.lit(kind).alias("_kind"), F.col("code").alias("_code")).agg(F.min("display_name").alias("description")) for kind, c in codes])
+    j = mappings.join(e, F.col("entity_id") == F.col("_e"), "left").join(names, (F.col("code") == F.col("_code")) & (F.col("code_type") == F.col("_kind")), "left")
+    return j.withColumns({"entity_text": F.col("_x.entity_text"), "entity_type": F.col("_x.entity_type")}).drop("_e", "_x", "_code", "_kind")
+
+
+def _texts(charts: DataFrame) -> DataFrame:
+    return charts.groupBy(F.col("chart_id").alias("_chart")).agg(F.max("raw_text").alias("raw_text"))
+
+
+def review_items(mappings: DataFrame, merged: DataFrame, icd_codes: DataFrame, loinc_codes: DataFrame, charts: DataFrame, code_type: str | None = None, status: str | None = None, page: int = 1, page_size: int = 50) -> DataFrame:
+    """A page of the queue, newest first, with descriptions, a preview of the note and the number of all rows that meet the filter.
+
+    The page is cut before anything is joined to it.
+    """
+    if page < 1 or not 1 <= page_size <= 5000:
+        raise ValueError("page from 1, page_size from 1 to 5000")
+    chosen = mappings.where(review_filter(code_type, status))
+    rows = chosen.orderBy(F.desc("created_at"), "mapping_id").offset((page - 1) * page_size).limit(page_size)
+    out = _described(rows, merged, ("ICD-10", icd_codes), ("LOINC", loinc_codes)).join(_texts(charts), F.col("chart_id") == F.col("_chart"), "left")
+    path = F.col("resolution_path")
+    state = F.when(path == "DISPUTED_UNRESOLVED", "pending").when(path.isin("HUMAN_ACCEPTED", "HUMAN_OVERRIDE"), "reviewed").otherwise("auto_resolved")
+    total = chosen.agg(F.count("*").alias("total"))
+    return out.withColumns({"status": state, "chart_preview": F.substring("raw_text", 1, 500)}).drop("_chart", "raw_text").crossJoin(F.broadcast(total))  # one row
+
+
+def badge_counts(mappings: DataFrame) -> DataFrame:
+    path = F.col("resolution_path")
+    return mappings.agg(F.count_if(path == "R1_R2_AGREE").alias("agreed"), F.count_if(path.startswith("ARBITER")).alias("arbitrated"), F.count_if(path == "DISPUTED_UNRESOLVED").alias("unresolved"))
+
+
+def queue_enrichment(page: DataFrame, assertions: DataFrame, merged: DataFrame) -> DataFrame:
+    """A page of the queue with the assertions on its entities' sources and the layers that found them."""
+    found = merged.join(page.select("entity_id").distinct(), "entity_id", "left_semi")
+    links = found.select("entity_id", F.explode("source_entity_ids").alias("_source")).distinct()
+    said = links.join(assertions.select(F.col("entity_id").alias("_source"), "assertion_status"), "_source").groupBy("entity_id").agg(F.min("assertion_status").alias("assertion_status"))
+    layers = found.groupBy("entity_id").agg(F.max("sources").alias("sources"))
+    return page.join(said, "entity_id", "left").join(layers, "entity_id", "left").withColumn("assertion_status", F.coalesce("assertion_status", F.lit("PRESENT")))
+
+
+def review_item(mapping_id: str, icd: DataFrame, loinc: DataFrame, merged: DataFrame, icd_codes: DataFrame, loinc_codes: DataFrame, charts: DataFrame) -> DataFrame:
+    """One mapping with its entity, its code's name and the whole note; that of ICD-10 if both systems have the id."""
+    rows = both_systems(icd, loinc).where(F.col("mapping_id") == mapping_id).orderBy("code_type").limit(1)
+    out = _described(rows, merged, ("ICD-10", icd_codes), ("LOINC", loinc_codes)).join(_texts(charts), F.col("chart_id") == F.col("_chart"), "left")
+    return out.withColumnRenamed("raw_text", "chart_text").drop("_chart")
+
+
+def chart_text(chart_id: str, charts: DataFrame) -> DataFrame:
+    return charts.where(F.col("chart_id") == chart_id).select("chart_id", "patient_id", "file_name", "provider", "facility", "chart_date", "raw_text").distinct()
+
+
+def recent_codes(mappings: DataFrame, merged: DataFrame, codes: DataFrame, code_type: str, k: int = 20) -> DataFrame:
+    rows = mappings.withColumn("code_type", F.lit(code_type)).orderBy(F.desc("created_at"), "mapping_id").limit(k)
+    extra = [c for c in ("method", "system") if c in codes.columns]
+    out = _described(rows, merged, (code_type, codes))
+    if extra:
+        out = out.drop(*extra).join(codes.groupBy("code").agg(*[F.min(c).alias(c) for c in extra]), "code", "left")
+    return out.select("mapping_id", "entity_text", "code", "description", "confidence", "created_at", *extra)
+
+
+def top_loinc(loinc: DataFrame, codes: DataFrame, k: int = 15) -> DataFrame:
+    g = loinc.groupBy("code").agg(F.count("*").alias("n"), F.round(F.round(F.avg("confidence"), 10), 3).alias("avg_confidence"))
+    names = codes.groupBy("code").agg(F.min(F.struct("display_name", "component")).alias("_c"))
+    return g.orderBy(F.desc("n"), "code").limit(k).join(names, "code", "left").select("code", F.col("_c.display_name").alias("description"), F.col("_c.component").alias("component"), "n", "avg_confidence")
+
+
+def loinc_distribution(loinc: DataFrame, codes: DataFrame, of: str, own: str | None, missing: str, k: int) -> DataFrame:
+    """The k most frequent components, methods or specimens: the code's, else the mapping's own, else ``missing``."""
+    names = codes.groupBy(F.col("code").alias("_code")).agg(F.min(of).alias("_of"))
+    value = F.coalesce(F.col("_of"), *([F.col(own)] if own else []), F.lit(missing))
+    g = loinc.join(names, F.col("code") == F.col("_code"), "left").groupBy(value.alias("name")).agg(F.count("*").alias("n"))
+    return g.orderBy(F.desc("n"), "name").limit(k)
+
+
+def loinc_disambiguation(loinc: DataFrame, codes: DataFrame) -> DataFrame:
+    """Analytes with several codes: each code's method and specimen, how often and how surely it was given, and which one is chosen.
+
+    The chosen code has the best mix of occurrence and confidence.
+    """
+    c = codes.where("component != ''").dropDuplicates(["code"]).select(F.col("code").alias("_code"), "display_name", "component", F.col("method").alias("_m"), "system")
+    j = loinc.where(~F.col("code").isin(*NO_CODE)).join(c, F.col("code") == F.col("_code"))
+    several = j.groupBy("component").agg(F.countDistinct("code").alias("_k")).where("_k > 1").select("component")
+    keys = ["component", "code", "display_name", F.coalesce("_m", "method", F.lit("Not specified")).alias("method"), F.coalesce("system", "specimen_type", F.lit("Not specified")).alias("specimen")]
+    g = j.join(several, "component", "left_semi").groupBy(*keys).agg(F.count("*").alias("occurrences"), F.round(F.round(F.avg("confidence"), 10), 3).alias("avg_confidence"), F.min("confidence").alias("min_confidence"), F.max("confidence").alias("max_confidence"))
+    w = W.partitionBy("component")
+    g = g.withColumn("score", F.round(0.6 * F.col("occurrences") / F.max("occurrences").over(w) + 0.4 * F.col("avg_confidence"), 6))
+    return g.withColumn("selected", F.row_number().over(w.orderBy(F.desc("score"), "code", "method", "specimen")) == 1)
+
+
+def facilities(charts: DataFrame) -> DataFrame:
+    return charts.where("facility is not null").groupBy("facility").agg(F.countDistinct("chart_id").alias("charts"))
+
+
+def timeline(charts: DataFrame) -> DataFrame:
+    return charts.groupBy(F.to_date("ingested_at").alias("date")).agg(F.countDistinct("chart_id").alias("charts"))
+
+
+def confidence_spread(icd: DataFrame) -> DataFrame:
+    """Mappings by confidence rounded to tenths, halves up."""
+    tenth = F.floor(F.round(F.col("confidence") * 100, 6) / 10 + 0.5) / 10
+    return icd.where("confidence is not null").groupBy(F.round(tenth, 1).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def latest_metrics(metrics: DataFrame, k: int = 100) -> DataFrame:
+    rows = metrics.orderBy(F.desc("run_timestamp"), "run_id").limit(k)
+    return rows.select(F.to_date("run_timestamp").alias("run_date"), "run_id", "metric_scope", "scope_value", "recall_score", "precision_score", "f1_score")
+
+
+def tier_shares(icd: DataFrame) -> DataFrame:
+    """One row: the shares of codes by ontology and by model, and the mean confidence, weighted by the number of codes of each path."""
+    per = icd.groupBy("resolution_path").agg(F.count("*").alias("n"), F.round(F.round(F.avg("confidence"), 10), 3).alias("c"))
+    total = F.greatest(F.sum("n"), F.lit(1))
+    part = lambda path: F.round(F.coalesce(F.sum(F.when(F.col("resolution_path") == path, F.col("n"))), F.lit(0)) * 100.0 / total, 1)
+    return per.agg(part("ONTOLOGY_DIRECT").alias("ontology_coverage_pct"), part("LLM_ASSIGNED").alias("llm_coding_pct"), F.round(F.round(F.sum(F.col("c") * F.col("n")) / total * 100, 6), 1).alias("avg_confidence_by_tier"))

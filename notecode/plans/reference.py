@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clinical import CHAPTERS
+from ..functions.clinical import norm_term
 from ..operators import coding, dictionary_match, extraction, feedback, merge, quality, sections, serving
 from ..operators.pipeline import unprocessed
 from ..sources import ontology
@@ -93,7 +93,7 @@ def dictionary_build(spark, d):
 
 _GRAMS = (
     "words as (select chart_id, section_id, list_filter(string_split(" + _NORM.format("section_text") + ", ' '), lambda w: w <> '') as w from document_sections where section_text is not null), "
-    "grams as (select distinct chart_id, section_id, array_to_string(list_slice(w, i, i + k - 1), ' ') as ngram from (select chart_id, section_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from (select *, unnest(generate_series(1, 4)) as k from words) a where len(w) >= k) b)"
+    "grams as (select distinct chart_id, section_id, array_to_string(list_slice(w, i, i + k - 1), ' ') as ngram from (select chart_id, section_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from (select *, unnest(generate_series(1, 5)) as k from words) a where len(w) >= k) b)"
 )
 
 
@@ -104,7 +104,10 @@ def dict_exact_counts(spark, d):
     return hits.select("chart_id", "section_id", "matched_term").distinct().groupBy("chart_id").agg(F.count("*").alias("n_matches"), F.countDistinct("matched_term").alias("n_terms"))
 
 
-@query()
+@query("with " + _DICT + ", " + _GRAMS + """, terms as (select distinct term_normalized as t from dict where length(term_normalized) >= 6), texts as (select distinct ngram as x from grams where length(ngram) >= 6 and ngram not in (select t from terms)),
+    tt as (select t, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: length(w) >= 3))) as w from terms), tx as (select x, unnest(list_distinct(list_filter(string_split(x, ' '), lambda w: length(w) >= 3))) as w from texts),
+    pairs as (select distinct x, t, levenshtein(regexp_replace(x, '[^\\x00-\\x7f]', '?', 'g'), t) as distance from tx join tt on tx.w = tt.w and abs(length(x) - length(t)) <= 2)
+    select x as ngram, t as term_normalized, cast(distance as int) as distance, round(1 - distance / cast(greatest(length(x), length(t)) as double), 6) as score from pairs where distance between 1 and 2 and round(1 - distance / cast(greatest(length(x), length(t)) as double), 6) >= 0.85""")
 def dict_fuzzy_pairs(spark, d):
     grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"))
     return dictionary_match.fuzzy_pairs(grams, _dictionary(spark, d))
@@ -142,20 +145,23 @@ def dict_coverage(spark, d):
 
 # --- merge ---
 
-_LAYERS = """layers as (
-    select entity_id, chart_id, section_id, entity_type, entity_text, lower(trim(regexp_replace(entity_text, '\\s+', ' ', 'g'), ' ')) as nt, 'dictionary' as source, match_score as conf, cui, null as value, null as unit from dictionary_entities where entity_text is not null
-    union all select entity_id, chart_id, section_id, entity_type, entity_text, lower(trim(regexp_replace(entity_text, '\\s+', ' ', 'g'), ' ')), 'ner', confidence, null, null, null from llm_entities where extraction_role = 'explicit' and entity_text is not null
-    union all select entity_id, chart_id, section_id, entity_type, entity_text, lower(trim(regexp_replace(entity_text, '\\s+', ' ', 'g'), ' ')), 'llm', confidence, null, value, unit from llm_entities where extraction_role in ('implicit', 'abbreviation') and entity_text is not null),
-  exact as (select chart_id, entity_type, nt, list_sort(list_distinct(list(source))) as sources, list_sort(list_distinct(list(entity_id))) as ids, count(distinct source) as n_sources, max(conf) as conf, max(cui) as cui from layers group by 1, 2, 3)"""
+_NT = "lower(trim(regexp_replace(entity_text, '\\s+', ' ', 'g'), ' '))"
+_LAYERS = f"""layers as (
+    select entity_id, chart_id, section_id, entity_type, entity_text, {_NT} as nt, 'dictionary' as source, match_score as conf, cui, null as value, null as unit, start_offset, end_offset from dictionary_entities where entity_text is not null
+    union all select entity_id, chart_id, section_id, entity_type, entity_text, {_NT}, 'ner', confidence, null, null, null, start_offset, end_offset from llm_entities where extraction_role = 'explicit' and entity_text is not null
+    union all select entity_id, chart_id, section_id, entity_type, entity_text, {_NT}, 'llm', confidence, null, value, unit, start_offset, end_offset from llm_entities where extraction_role in ('implicit', 'abbreviation') and entity_text is not null),
+  exact as (select chart_id, entity_type, nt, list_sort(list_distinct(list(source))) as sources, list_sort(list_distinct(list(entity_id))) as ids, count(distinct source) as n_sources, max(conf) as conf, max(cui) as cui,
+    max({{'n': length(entity_text), 't': entity_text}}).t as entity_text, min(section_id) as section_id, max({{'w': coalesce(conf, -1), 'v': value}}) filter (where value is not null) as bv, max({{'w': coalesce(conf, -1), 'v': unit}}) filter (where unit is not null) as bu,
+    max({{'w': coalesce(conf, -1), 'a': -start_offset, 'b': coalesce(end_offset, -1)}}) filter (where start_offset is not null) as span from layers group by 1, 2, 3)"""
 
 
 def _normalized(spark, d):
     return merge.normalize_layers(table(spark, d, "dictionary_entities"), role(spark, d, "ner"), role(spark, d, "llm"))
 
 
-@query("with " + _LAYERS + " select chart_id, entity_type, nt as normalized_text, array_to_string(sources, ',') as sources, array_to_string(ids, ',') as source_entity_ids, n_sources as match_count, cui from exact")
+@query("with " + _LAYERS + " select chart_id, entity_type, nt as normalized_text, array_to_string(sources, ',') as sources, array_to_string(ids, ',') as source_entity_ids, n_sources as match_count, cui, -span.a as start_offset, nullif(span.b, -1) as end_offset from exact")
 def merge_exact(spark, d):
-    return merge.merge_exact(_normalized(spark, d)).select("chart_id", "entity_type", "normalized_text", F.array_join("sources", ",").alias("sources"), F.array_join("source_entity_ids", ",").alias("source_entity_ids"), "match_count", "cui")
+    return merge.merge_exact(_normalized(spark, d)).select("chart_id", "entity_type", "normalized_text", F.array_join("sources", ",").alias("sources"), F.array_join("source_entity_ids", ",").alias("source_entity_ids"), "match_count", "cui", "start_offset", "end_offset")
 
 
 @query("with " + _LAYERS + """, pairs as (select a.chart_id, a.entity_type, a.nt as long_text, b.nt as short_text, b.sources, b.ids, b.n_sources from exact a join exact b on a.chart_id = b.chart_id and a.entity_type = b.entity_type and length(a.nt) > length(b.nt) and contains(a.nt, b.nt) where b.nt <> ''),
@@ -183,7 +189,18 @@ def ensemble_score(spark, d):
     return rows.select("entity_id", "sources", F.length("entity_text").alias("_l"), merge.ensemble_score(F.col("sources"), F.col("entity_text")).alias("score")).distinct().select("entity_id", "score")
 
 
-@query()
+@query("with " + _LAYERS + """, pairs as (select a.chart_id, a.entity_type, a.nt as long_text, b.nt as short_text, b.sources from exact a join exact b on a.chart_id = b.chart_id and a.entity_type = b.entity_type and length(a.nt) > length(b.nt) and contains(a.nt, b.nt) where b.nt <> ''),
+    gone as (select distinct chart_id, entity_type, short_text from pairs), gain as (select chart_id, entity_type, long_text, flatten(list(sources)) as s from pairs group by 1, 2, 3),
+    kept as (select e.* exclude (sources), list_distinct(list_concat(e.sources, coalesce(g.s, []))) as sources from exact e left join gain g on g.chart_id = e.chart_id and g.entity_type = e.entity_type and g.long_text = e.nt
+        where not exists (select 1 from gone x where x.chart_id = e.chart_id and x.entity_type = e.entity_type and x.short_text = e.nt)),
+    longest as (select *, max({'n': length(entity_text), 't': entity_text, 'x': nt}) over (partition by chart_id, entity_type, cui) as l from kept where cui is not null),
+    concepts as (select chart_id, entity_type, cui, max(l).t as entity_text, max(l).x as nt, list_distinct(flatten(list(sources))) as sources, min(section_id) as section_id, max({'w': coalesce(conf, -1), 'v': bv.v}) filter (where bv.v is not null) as bv, max({'w': coalesce(conf, -1), 'v': bu.v}) filter (where bu.v is not null) as bu from longest group by 1, 2, 3
+        union all select chart_id, entity_type, cui, entity_text, nt, sources, section_id, bv, bu from kept where cui is null),
+    first_text as (select section_id, arg_min(section_text, {'o': coalesce(section_order, 1073741824), 't': section_text}) as t from document_sections where section_text is not null group by 1)
+    select concat('ENT-MERGED-', substring(sha256(concat_ws('|', coalesce(concat('=', chart_id), ''), coalesce(concat('=', entity_type), ''), coalesce(concat('=', nt), ''))), 1, 16)) as entity_id, chart_id, entity_type, entity_text, cui, bv.v as value, bu.v as unit, cast(len(sources) as int) as match_count,
+        round(case when len(sources) >= 3 then 0.95e0 + (length(entity_text) % 30) / 1000.0e0 when len(sources) = 2 then 0.85e0 + (length(entity_text) % 70) / 1000.0e0 when list_contains(sources, 'dictionary') then 0.78e0 + (length(entity_text) % 20) / 1000.0e0
+            when list_contains(sources, 'ner') then 0.73e0 + (length(entity_text) % 20) / 1000.0e0 else 0.65e0 + (length(entity_text) % 100) / 1000.0e0 end, 6) as ensemble_confidence, cast(length(f.t) as int) as context_chars
+    from concepts c left join first_text f on f.section_id = c.section_id""")
 def merged_entities(spark, d):
     rows = merge.merge_layers(table(spark, d, "dictionary_entities"), role(spark, d, "ner"), role(spark, d, "llm"), table(spark, d, "document_sections"))
     return rows.select("entity_id", "chart_id", "entity_type", "entity_text", "cui", "value", "unit", "match_count", "ensemble_confidence", F.length("entity_context").alias("context_chars"))
@@ -216,16 +233,15 @@ def incremental_second_run(spark, d):
 
 
 def _active(spark, d):
-    merged = table(spark, d, "merged_entities")
-    coded = table(spark, d, "gold_annotations").where("gold_icd10_code is not null").select(F.col("annotation_id").alias("entity_id"))
-    return coding.active_entities(merged, role(spark, d, "assertions"), coded)
+    return coding.active_entities(table(spark, d, "merged_entities"), role(spark, d, "assertions"), role(spark, d, "icd10_mappings").where("resolution_path in ('ONTOLOGY_DIRECT', 'HUMAN_ACCEPTED')"))
 
 
 _ACTIVE = """active as (select m.* from merged_entities m where not exists (select 1 from (select distinct e from (select entity_id as e, unnest(source_entity_ids) as s from merged_entities) x
-    join assertions a on a.entity_id = x.s where a.assertion_status <> 'PRESENT' or a.experiencer <> 'PATIENT' or a.temporality <> 'CURRENT') b where b.e = m.entity_id))"""
+    join assertions a on a.entity_id = x.s where a.assertion_status <> 'PRESENT' or a.experiencer <> 'PATIENT' or a.temporality <> 'CURRENT') b where b.e = m.entity_id)
+    and m.entity_id not in (select entity_id from icd10_mappings where resolution_path in ('ONTOLOGY_DIRECT', 'HUMAN_ACCEPTED') and entity_id is not null))"""
 
 
-@query("select * from (select entity_type, count(*) as n, count(distinct entity_id) as n_ids from active group by 1) t", roles=("assertions",))
+@query("select * from (select entity_type, count(*) as n, count(distinct entity_id) as n_ids from active group by 1) t", roles=("assertions", "icd10_mappings"))
 def active_entities(spark, d):
     return _active(spark, d).groupBy("entity_type").agg(F.count("*").alias("n"), F.countDistinct("entity_id").alias("n_ids"))
 
@@ -239,15 +255,25 @@ def tier1_exact(spark, d):
     return rows.groupBy("entity_id", "source_code").agg(F.count("*").alias("n"))
 
 
-@query()
+_TIER1 = """terms as (select distinct term_normalized as t from dict), done as (select distinct entity_id from merged_entities m join dict on """ + _NORM.format("m.entity_text") + """ = term_normalized),
+    rest as (select distinct entity_id, """ + _NORM.format("entity_text") + """ as key from merged_entities where entity_text is not null and entity_id not in (select entity_id from done)),
+    tk as (select distinct key, unnest(list_distinct(list_filter(string_split(key, ' '), lambda w: length(w) >= 3))) as w from rest where key <> ''), tt as (select t, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: length(w) >= 3))) as w from terms),
+    pairs as (select distinct key, t, levenshtein(regexp_replace(key, '[^\\x00-\\x7f]', '?', 'g'), t) as distance from tk join tt on tk.w = tt.w and abs(length(key) - length(t)) <= 5),
+    best as (select key, min({'d': distance, 't': t}) as m from pairs where distance <= greatest(floor(length(key) * 0.3e0), 3) group by 1)"""
+
+
+@query("with " + _DICT + ", " + _TIER1 + " select distinct entity_id, m.t as term_normalized, cast(m.d as int) as edit_distance, round(greatest(0.92e0 - 0.01e0 * m.d, 0.80e0), 3) as tier1_confidence from rest join best using (key)")
 def tier1_fuzzy(spark, d):
     merged, dictionary = table(spark, d, "merged_entities"), _dictionary(spark, d)
     rows = coding.tier1_fuzzy(merged, coding.tier1_exact(merged, dictionary), dictionary)
     return rows.select("entity_id", "term_normalized", "edit_distance", "tier1_confidence").distinct()
 
 
-def _icd_dictionary(spark, d):
-    return dictionary_match.build_dictionary(icd10=role(spark, d, "icd_ref"))
+@query("with " + _DICT + ", " + _TIER1 + " select 'exact' as tier1_method, count(distinct entity_id) as n_entities from done union all select 'fuzzy', count(distinct entity_id) from rest join best using (key)")
+def tier1_all(spark, d):
+    merged, dictionary = table(spark, d, "merged_entities"), _dictionary(spark, d)
+    exact = coding.tier1_exact(merged, dictionary)
+    return coding.tier1_all(exact, coding.tier1_fuzzy(merged, exact, dictionary)).groupBy("tier1_method").agg(F.countDistinct("entity_id").alias("n_entities"))
 
 
 def _part_entities(spark, d):
@@ -255,28 +281,56 @@ def _part_entities(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("entity_id"), F.lit("C1").alias("chart_id"), F.lit("DIAGNOSIS").alias("entity_type"), F.col("p_name").alias("entity_text"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("unit"))
 
 
-@query("""select cast(p_partkey as string) as entity_id, min(r.code) as icd10_code from part p join icd_ref r on r.description = p.p_name and r.is_billable group by 1""", roles=("icd_ref",))
+_ICD_PATHS = """
+    , d as (select description as term, 'ICD10' as source, code as source_code, null as cui from icd_ref where is_billable and description is not null union select concept_name, 'SNOMED', concept_id, cui from snomed_terms),
+    hits as (select distinct p_partkey, source, source_code, cui from part join d on """ + _NORM.format("p_name") + " = " + _NORM.format("term") + """),
+    first as (select snomed_concept_id, icd10_code from snomed_map where map_priority = 1),
+    own as (select p_partkey, code as icd10_code, 1.0e0 as weight, 'ICD10' as match_source from hits join (select min(code) as code, upper(code_raw) as raw from icd_ref where is_billable group by 2) r on upper(replace(source_code, '.', '')) = raw where source = 'ICD10'),
+    via as (select p_partkey, f.icd10_code, 0.95e0 as weight, h.source as match_source from hits h join (select distinct cui, concept_id from snomed_terms where cui is not null) t on t.cui = h.cui join first f on f.snomed_concept_id = t.concept_id
+        union all select p_partkey, f.icd10_code, 0.96e0, 'SNOMED' from hits h join first f on f.snomed_concept_id = h.source_code where h.source = 'SNOMED'),
+    ranked as (select *, row_number() over (partition by p_partkey order by round(0.98e0 * weight, 4) desc, icd10_code, match_source) as r from (select * from own union all select * from via) u)
+    select cast(p_partkey as string) as entity_id, icd10_code, round(0.98e0 * weight, 4) as confidence from ranked where r = 1"""
+
+
+@query("select 1", roles=("icd_ref", "snomed_terms", "snomed_map"))
 def resolve_icd10(spark, d):
-    dictionary = _icd_dictionary(spark, d)
+    terms = role(spark, d, "snomed_terms")
+    # Codes of an ontology's own terms, the concepts of those terms, and their map to codes.
+    snomed = terms.select(F.col("concept_name").alias("term"), F.lit("SNOMED").alias("source"), F.lit("DIAGNOSIS").alias("entity_type"), F.col("concept_id").alias("source_code"), "cui")
+    snomed = snomed.withColumn("term_normalized", norm_term(F.col("term"))).select(*dictionary_match.ENTRY)
+    dictionary = dictionary_match.build_dictionary(icd10=role(spark, d, "icd_ref")).unionByName(snomed)
     matches = coding.tier1_exact(_part_entities(spark, d), dictionary)
-    maps = spark.createDataFrame([], "snomed_concept_id string, icd10_code string, map_priority int")
-    return coding.resolve_icd10(matches, role(spark, d, "icd_ref"), dictionary, maps).select("entity_id", "icd10_code")
+    return coding.resolve_icd10(matches, role(spark, d, "icd_ref"), dictionary, role(spark, d, "snomed_map")).select("entity_id", "icd10_code", "confidence")
 
 
-@query()
+ORACLE["resolve_icd10"] = ORACLE["resolve_icd10"].removesuffix(" select 1") + _ICD_PATHS
+
+
+def _labs(spark, d):
+    least = lambda c: F.min(c).alias(c)
+    return table(spark, d, "merged_entities").where("entity_type = 'LAB_RESULT' and entity_text is not null").groupBy("entity_id").agg(*map(least, ("chart_id", "entity_type", "entity_text", "specimen_type", "method", "timing")))
+
+
+@query("with labs as (select entity_id, min(entity_text) as entity_text, min(specimen_type) as specimen_type, min(method) as method, min(timing) as timing from merged_entities where entity_type = 'LAB_RESULT' and entity_text is not null group by 1), "
+    "ref as (select cui as code, preferred_name as name, string_split(" + _NORM.format("preferred_name") + ", ' ')[1] as word from umls_concepts where semantic_type in ('Laboratory Procedure', 'Clinical Attribute')), "
+    "own as (select entity_id, code, 0.98e0 as confidence, 'LOINC' as source from labs join ref on " + _NORM.format("entity_text") + " = " + _NORM.format("name") + "), "
+    "axes as (select entity_id, code, contains(lower(name), lower(entity_text)) as a, coalesce(specimen_type <> '' and contains(lower(name), lower(specimen_type)), false) as b, coalesce(l.method <> '' and contains(lower(name), lower(l.method)), false) as c, coalesce(timing <> '' and contains(lower(name), lower(timing)), false) as t "
+    "from labs l join ref on string_split(" + _NORM.format("entity_text") + ", ' ')[1] = word where word <> '' and entity_id not in (select entity_id from own)), "
+    "every as (select * from own union all select entity_id, code, round(0.88e0 + 0.015e0 * (3 * a::int + 2 * b::int + 2 * c::int + t::int), 3), 'LOINC axes' from axes where a or b or c) "
+    "select entity_id, code as loinc_code, confidence from (select *, row_number() over (partition by entity_id order by confidence desc, code, source) as r from every) x where r = 1")
 def resolve_loinc(spark, d):
     ref = table(spark, d, "umls_concepts").where("semantic_type in ('Laboratory Procedure', 'Clinical Attribute')").select(F.col("cui").alias("loinc_code"), F.col("preferred_name").alias("long_name"), F.col("preferred_name").alias("component"), F.lit(None).cast("string").alias("system_specimen"), F.lit(None).cast("string").alias("method"))
-    labs = table(spark, d, "merged_entities").where("entity_type = 'LAB_RESULT' and entity_text is not null").dropDuplicates(["entity_id"])
-    dictionary = dictionary_match.build_dictionary(loinc=ref)
-    matches = coding.tier1_exact(labs, dictionary)
+    labs = _labs(spark, d)
+    matches = coding.tier1_exact(labs, dictionary_match.build_dictionary(loinc=ref))
     return coding.resolve_loinc(matches, labs, ref).select("entity_id", "loinc_code", "confidence")
 
 
-@query("""select chart_id, count(*) as n_entities, string_agg(line, chr(10) order by entity_id, line) as prompt from (select chart_id, entity_id, concat('- ', entity_id, ' | ', coalesce(entity_type, ''), ' | ', coalesce(entity_text, ''), ' | ', coalesce(value, ''), ' | ', coalesce(unit, '')) as line
-    from (select distinct chart_id, entity_id, entity_type, entity_text, value, unit from merged_entities where entity_type = 'LAB_RESULT') t) u group by 1""")
+@query("""with t as (select distinct chart_id, entity_id, entity_type, entity_text, value, unit from merged_entities where entity_type = 'LAB_RESULT'), n as (select chart_id, cast(ceil(count(*) / 200.0e0) as bigint) as parts from t group by 1),
+    l as (select t.chart_id, cast(('0x' || substring(md5(entity_id), 1, 8))::bigint % parts as int) as part, entity_id, concat('- ', entity_id, ' | ', coalesce(entity_type, ''), ' | ', coalesce(entity_text, ''), ' | ', coalesce(value, ''), ' | ', coalesce(unit, '')) as line from t join n on n.chart_id = t.chart_id)
+    select chart_id, part, cast(count(*) as int) as n_entities, string_agg(line, chr(10) order by entity_id, line) as prompt from l group by 1, 2""")
 def chart_prompts(spark, d):
     rows = table(spark, d, "merged_entities").where("entity_type = 'LAB_RESULT'").select("chart_id", "entity_id", "entity_type", "entity_text", "value", "unit").distinct()
-    return coding.chart_prompts(rows).select("chart_id", "n_entities", "prompt")
+    return coding.chart_prompts(rows).select("chart_id", "part", "n_entities", "prompt")
 
 
 def _model_codes(spark, d):
@@ -342,7 +396,7 @@ def missed_entities(spark, d):
     return feedback.missed_entities(table(spark, d, "merged_entities"), table(spark, d, "gold_annotations"))
 
 
-@query("with " + _SETS + ", n as (select chart_id, count(*) as n from merged_entities group by 1) select case when coalesce(n, 0) >= 30 then '30+' when coalesce(n, 0) >= 10 then '10-29' else '0-9' end as density, count(*) as n_missed, count(distinct k.chart_id) as n_charts from k left join n on n.chart_id = k.chart_id where g and not f group by 1")
+@query("with " + _SETS + ", n as (select chart_id, count(*) as n from merged_entities group by 1) select case when coalesce(n, 0) >= 30 then 'high (30+)' when coalesce(n, 0) >= 10 then 'medium (10-30)' else 'low (<10)' end as density, count(*) as n_missed, count(distinct k.chart_id) as n_charts from k left join n on n.chart_id = k.chart_id where g and not f group by 1")
 def missed_density(spark, d):
     merged, gold = table(spark, d, "merged_entities"), table(spark, d, "gold_annotations")
     return feedback.missed_density(feedback.missed_entities(merged, gold), merged)
@@ -371,9 +425,9 @@ def cycle_delta(spark, d):
     return feedback.cycle_delta(role(spark, d, "runs"))
 
 
-@query("select pattern_type, severity, case when resolved_at is null then 'open' else 'resolved' end as status, count(*) as n_patterns, max(detected_at) as last_detected from patterns group by 1, 2, 3", roles=("patterns",))
+@query("select severity, case when resolved_at is null then 'open' else 'resolved' end as status, count(*) as pattern_count, string_agg(distinct pattern_type, ',' order by pattern_type) as pattern_types, max(detected_at) as last_detected from patterns group by 1, 2", roles=("patterns",))
 def error_status(spark, d):
-    return feedback.error_pattern_status(role(spark, d, "patterns"))
+    return feedback.error_pattern_status(role(spark, d, "patterns")).withColumn("pattern_types", F.array_join("pattern_types", ","))
 
 
 # --- quality ---
@@ -408,14 +462,21 @@ def negation_by_section(spark, d):
     return quality.negation_by_section(role(spark, d, "assertions"), table(spark, d, "llm_entities"), table(spark, d, "document_sections"))
 
 
-@query("select case when length(code) <= 3 then 'category' when length(code) <= 5 then 'subcategory' when length(code) <= 6 then 'detailed' else 'full' end as level, count(*) as n, round(100.0e0 * count(*) / sum(count(*)) over (), 2) as pct from mappings where code is not null group by 1", roles=("mappings",))
+@query("""select case when length(code) <= 4 then 'category (3-4 char)' when length(code) <= 5 then 'subcategory (5 char)' when length(code) <= 6 then 'specific (6 char)' else 'most_specific (7+ char)' end as specificity_level,
+    count(*) as code_count, round(round(avg(confidence), 10), 4) as avg_confidence, round(100.0e0 * count(*) / sum(count(*)) over (), 2) as pct_of_total from lengths where code is not null group by 1""", roles=("mappings",))
 def specificity_levels(spark, d):
-    return quality.specificity_levels(role(spark, d, "mappings"))
+    # Codes of three to seven characters: the test codes all have five.
+    rows = role(spark, d, "mappings").withColumn("code", F.expr("concat(code, substring('XA', 1, cast(mapping_id as bigint) % 3))")).withColumn("code", F.expr("substring(code, 1, cast(7 - cast(mapping_id as bigint) % 5 as int))"))
+    return quality.specificity_levels(rows)
+
+
+ORACLE["specificity_levels"] = ORACLE["specificity_levels"].replace(" select case when length", ", lengths as (select substring(concat(code, substring('XA', 1, cast(cast(mapping_id as bigint) % 3 as int))), 1, cast(7 - cast(mapping_id as bigint) % 5 as int)) as code, confidence from mappings) select case when length", 1)
 
 
-@query("select code_type, case when r.code is null then 'unknown' when r.is_billable then 'billable' else 'not billable' end as validity, count(*) as n, round(avg(confidence), 4) as avg_confidence from mappings m left join icd_ref r on r.code = m.code group by 1, 2", roles=("mappings", "icd_ref"))
+@query("""select 'ICD-10' as code_system, count(*) as total_assigned, count(r.code) as valid_codes, count(*) - count(r.code) as invalid_codes, round(100.0e0 * count(r.code) / nullif(count(*), 0), 2) as validity_pct from icd10_mappings m left join (select distinct code from icd_ref) r on r.code = m.code where m.code is not null
+    union all select 'LOINC', count(*), count(r.code), count(*) - count(r.code), round(100.0e0 * count(r.code) / nullif(count(*), 0), 2) from loinc_mappings m left join (select distinct code from loinc_codes) r on r.code = m.code where m.code is not null""", roles=("icd10_mappings", "loinc_mappings", "icd_ref", "loinc_codes"))
 def code_validity(spark, d):
-    return quality.code_validity(role(spark, d, "mappings"), role(spark, d, "icd_ref"))
+    return quality.code_validity({"ICD-10": role(spark, d, "icd10_mappings"), "LOINC": role(spark, d, "loinc_mappings")}, {"ICD-10": role(spark, d, "icd_ref"), "LOINC": role(spark, d, "loinc_codes")})
 
 
 @query("select code_type, count(*) as total, count(*) filter (where confidence >= 0.9) as high, count(*) filter (where confidence >= 0.7 and confidence < 0.9) as medium, count(*) filter (where confidence < 0.7) as low, count(*) filter (where resolution_path = 'ONTOLOGY_DIRECT') as direct, count(distinct code) as n_codes, round(avg(confidence), 4) as avg_confidence from mappings group by 1", roles=("mappings",))
@@ -423,9 +484,10 @@ def code_quality(spark, d):
     return quality.code_quality(role(spark, d, "mappings"))
 
 
-@query("select code_type, count(*) as total, count(*) filter (where resolution_path = 'R1_R2_AGREE') as agreed, count(*) filter (where resolution_path like 'ARBITER%') as arbitrated, count(*) filter (where resolution_path = 'DISPUTED_UNRESOLVED') as disputed from mappings group by 1", roles=("mappings",))
+@query("""select validation_round, validation_role, count(*) as total_reviews, count(*) filter (where validation_result = 'approved') as approved, count(*) filter (where validation_result = 'rejected') as rejected, count(*) filter (where validation_result = 'modified') as modified,
+    round(100.0e0 * count(*) filter (where validation_result = 'approved') / nullif(count(*), 0), 2) as approval_rate_pct from validation group by 1, 2""", roles=("validation",))
 def multipass_agreement(spark, d):
-    return quality.multipass_agreement(role(spark, d, "mappings"))
+    return quality.multipass_agreement(role(spark, d, "validation"))
 
 
 # --- serving ---
@@ -453,7 +515,7 @@ _SERVING = {
     "low_confidence": _serve(serving.low_confidence, "select mapping_id, code, resolution_path, confidence from mappings where resolution_path <> 'R1_R2_AGREE' order by confidence, mapping_id limit 15"),
     "disambiguation": _serve(serving.disambiguation, "select chart_id, code_type, code, n, score, row_number() over (partition by chart_id, code_type order by score desc, code) = 1 as selected from (select *, round(0.6e0 * n / max(n) over (partition by chart_id, code_type) + 0.4e0 * c, 6) as score, count(*) over (partition by chart_id, code_type) as k from (select chart_id, code_type, code, count(*) as n, round(avg(confidence), 6) as c from mappings group by 1, 2, 3) g) t where k > 1"),
     "coding_tiers": _serve(serving.coding_tiers, "select case when resolution_path = 'ONTOLOGY_DIRECT' then 'tier 1' else 'tier 2' end as tier, code_type, count(*) as n, round(avg(confidence), 4) as avg_confidence from mappings group by 1, 2"),
-    "chapter_distribution": _serve(serving.chapter_distribution, "select case " + " ".join(f"when upper(substring(code, 1, 1)) = '{k}' then '{k}: {v}'" for k, v in CHAPTERS.items()) + " else concat(upper(substring(code, 1, 1)), ': Other') end as chapter, count(*) as n, count(distinct code) as n_codes from mappings where code_type = 'ICD-10' group by 1"),
+    "chapter_distribution": _serve(serving.chapter_distribution, "select case substring(code, 1, 1) when 'A' then 'A: Infectious diseases' when 'B' then 'B: Infectious diseases' when 'C' then 'C: Neoplasms' when 'D' then 'D: Blood/immune' when 'E' then 'E: Endocrine/metabolic' when 'F' then 'F: Mental/behavioral' when 'G' then 'G: Nervous system' when 'H' then 'H: Eye/ear' when 'I' then 'I: Circulatory' when 'J' then 'J: Respiratory' when 'K' then 'K: Digestive' when 'L' then 'L: Skin' when 'M' then 'M: Musculoskeletal' when 'N' then 'N: Genitourinary' when 'R' then 'R: Symptoms/signs' when 'Z' then 'Z: Health factors' else concat(substring(code, 1, 1), ': Other') end as chapter, count(*) as n, count(distinct code) as n_codes from mappings where code_type = 'ICD-10' group by 1"),
 }
 for _name, (_run, _sql) in _SERVING.items():
     QUERIES[_name], ORACLE[_name] = _run, _sql

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clinical import semantic_group
+from .catalog import find_file
 
 
 def read_rrf(spark: SparkSession, path: str, fields: dict[str, int], width: int) -> DataFrame:
@@ -64,3 +65,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files as (path, file_name, content), to be joined to charts by name."""
     rows = spark.read.format("binaryFile").load(path)
     return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
+
+
+def load_snomed_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``load_snomed`` from the files of a release folder, found by their names."""
+    paths = {part: find_file(spark, folder, part) for part in ("description", "relationship", "extendedmap")}
+    lost = [k for k, v in paths.items() if v is None]
+    if lost:
+        raise FileNotFoundError(f"no {', '.join(lost)} file in {folder}")
+    return load_snomed(spark, paths["description"], paths["relationship"], paths["extendedmap"])
