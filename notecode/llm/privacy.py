@@ -140,6 +140,7 @@ class Detector:
 
     def __init__(self, given: Callable[[str], bool]):
         self.given = given
+        self.plain: set[str] = set()  # words known to be no names, as far as they are kept
         self.after = re.compile(rf" (?:{_INITIAL} )?(?:{_PARTICLE})?({_PART})", re.I)
         self.before = re.compile(rf"((?:{_PARTICLE})?{_PART}), $", re.I)
         self.titled = re.compile(rf"(?:{_INITIAL} ?)*(?:{_PARTICLE})?{_PART}(?:(?:, | )(?:{_INITIAL} )*(?:{_PARTICLE})?{_PART})?(?: {_INITIAL})?", re.I)
@@ -157,10 +158,24 @@ class Detector:
         spans += self._names(flat)
         return [(kind, source_offset(a, starts, sources), source_end(b, starts, sources, edited), name) for a, b, kind, name in spans]
 
+    def _any_given(self, flat: str) -> bool:
+        """Whether a text has a word that may be a given name; most have none, and are read no further."""
+        if len(self.plain) > 500_000:
+            self.plain.clear()
+        hit = False
+        for word in set(_NAMED.findall(flat.lower())) - self.plain:
+            if self.given(word) or self.given(re.split("['’]", word)[0]):
+                hit = True
+            else:
+                self.plain.add(word)
+        return hit
+
     def _firsts(self, flat: str):
         """(start, end) of words that may be given names: whole words, not the first part of a hyphenated one; short ones only with a capital."""
-        for m in _NAMED.finditer(flat):
+        for m in _NAMED.finditer(flat) if self._any_given(flat) else ():
             word = m[0]
+            if word in self.plain:
+                continue
             if not self.given(word.lower()):
                 word = re.split("['’]", word)[0]
                 if len(word) == len(m[0]) or not self.given(word.lower()):
