@@ -58,12 +58,25 @@ def suffix_order(tokens: np.ndarray, longest: int) -> np.ndarray:
     """
     n = len(tokens)
     _, rank = np.unique(tokens, return_inverse=True)
-    rank, step = rank.astype(np.int64), 1
-    while step <= longest and (n and int(rank.max()) + 1 < n):
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - step] = rank[step:]
-        _, rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)
-        rank = rank.astype(np.int64)
+    size = int(rank.max()) + 1 if n else 1
+    step, key = 1, rank.astype(np.int64)
+    while step < 4 and size ** (step + 1) < 1 << 62:  # as many words as fit into one number
+        key = key * size + np.append(rank[step:], np.zeros(min(step, n), np.int64))[:n]
+        step += 1
+    _, group, counts = np.unique(key, return_inverse=True, return_counts=True)
+    # A rank is the place of the first suffix that is the same so far: refining a group leaves the others as they are.
+    rank = (np.cumsum(counts) - counts)[group]
+    open_ = np.flatnonzero(counts[group] > 1)
+    while step <= longest and len(open_):
+        own, ahead = rank[open_], np.where(open_ + step < n, rank[np.minimum(open_ + step, n - 1)], 0)
+        order = np.argsort(own * (n + 1) + ahead, kind="stable")
+        own, ahead, at = own[order], ahead[order], np.arange(len(order))
+        new_group = np.append(True, own[1:] != own[:-1])
+        new_key = new_group | np.append(True, ahead[1:] != ahead[:-1])
+        fresh = own + np.maximum.accumulate(np.where(new_key, at, 0)) - np.maximum.accumulate(np.where(new_group, at, 0))
+        rank[open_[order]] = fresh
+        alone = new_key & np.append(new_key[1:], True)
+        open_ = np.sort(open_[order][~alone])
         step *= 2
     order = np.argsort(rank, kind="stable")
     return order[tokens[order] != 0].astype(np.int32)
