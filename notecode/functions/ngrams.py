@@ -17,7 +17,7 @@ def char_ngrams(text: Column, n: int) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(padded, i, F.lit(n))))
 
 
-def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5) -> DataFrame:
+def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5, where: Column | None = None) -> DataFrame:
     """(text, within..., entry, cosine) of all pairs with a cosine of ``least`` or more.
 
     N-grams weigh log(1 + entries / entries that have it); n-grams no entry has weigh as
@@ -30,7 +30,8 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     cosine is reached, so no pair is lost while the long posting lists are not read. What a
     pair shares of the joined n-grams, and the most it can share of the others (they are
     all light ones of the side that leaves out more), bounds its cosine; only pairs whose
-    bound reaches ``least`` are scored in full.
+    bound reaches ``least`` are scored in full. ``where`` is a cheap condition on text and
+    entry that pairs must meet besides; it is tested as they meet.
     """
     keys = [text, *within]
     total = entries.agg(F.count("*").alias("_total"))  # one row
@@ -56,6 +57,8 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
         return rows.select(*columns, F.sqrt("_sq").alias(norm), F.col("_cut.rest").alias(rest), F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g")).select(*columns, norm, rest, F.col("g.gram").alias("gram"), F.col("g.w").alias(f"{norm}w"))
 
     shared = heavy(texts, keys, "_sn", "_sr").join(heavy(vectors, [entry, *within], "_en", "_er").drop("_enw"), ["gram", *within])
+    if where is not None:
+        shared = shared.where(where)
     pairs = shared.groupBy(*keys, entry).agg(F.sum(F.col("_snw") * F.col("_snw")).alias("_part"), *[F.first(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
     pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).drop("_part", "_sr", "_er")
     pairs = pairs.join(texts.select(*keys, F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)

@@ -44,10 +44,13 @@ def build_dictionary(*, icd10: DataFrame | None = None, loinc: DataFrame | None
 
 
 def extract_ngrams(sections: DataFrame, most: int = 5) -> DataFrame:
-    """(chart_id, section_id, ngram): the distinct n-grams of every section."""
+    """(chart_id, section_id, ngram): the distinct n-grams of every section row.
+
+    Nothing is shuffled here: repeated section rows are told apart from nothing else until
+    the matches, which are few, are cut to one per section and term.
+    """
     split = sections.where("section_text is not null").select("chart_id", "section_id", words(F.col("section_text")).alias("w"))
-    rows = split.select("chart_id", "section_id", F.explode(ngrams(F.col("w"), most)).alias("ngram"))
-    return rows.distinct()
+    return split.select("chart_id", "section_id", F.explode(ngrams(F.col("w"), most)).alias("ngram"))
 
 
 _ORDER = ("source", "source_code", "cui", "term")
@@ -65,19 +68,41 @@ def match_exact(grams: DataFrame, dictionary: DataFrame) -> DataFrame:
     return _one_per_term(hits)
 
 
+def _thirds(size: Column) -> list[tuple[Column, Column]]:
+    """(start, length) of the three parts of a text of a size."""
+    third = F.floor(size / 3).cast("int")
+    return [(F.lit(1), third), (third + 1, third), (2 * third + 1, size - 2 * third)]
+
+
 def fuzzy_pairs(grams: DataFrame, dictionary: DataFrame, max_distance: int = 2, least: float = 0.85) -> DataFrame:
     """(ngram, term_normalized, distance, score) of distinct n-grams and terms of six characters or more that share a word of three.
 
-    The length difference is part of the join key, so only pairs that can be close meet.
+    With at most two edits one of three parts of the n-gram is untouched, and stands in the
+    term moved by no more than two. An n-gram is listed under its three parts, a term under
+    all that such parts can be; so texts meet by a third of their characters at its place, and
+    not all that share a frequent word.
     """
+    if max_distance > 2:
+        raise ValueError("three parts are enough for two edits only")
     shape = lambda df, c: df.select(F.col(c).alias("t")).where(F.length("t") >= 6).distinct()
     terms, texts = shape(dictionary, "term_normalized"), shape(grams, "ngram")
     texts = texts.join(terms, "t", "left_anti")
-    by_word = lambda df, name: df.select(F.col("t").alias(name), F.explode(F.array_distinct(F.filter(F.split("t", " "), lambda w: F.length(w) >= 3))).alias("token"))
-    left = by_word(texts, "ngram").withColumn("size", F.length("ngram"))
-    right = by_word(terms, "term_normalized").withColumn("size", F.explode(F.sequence(F.length("term_normalized") - max_distance, F.length("term_normalized") + max_distance)))
-    pairs = left.join(right, ["token", "size"]).select("ngram", "term_normalized").distinct()
+    size = F.length("t")
+    parts = F.array(*[F.struct(F.lit(k).alias("part"), F.substr("t", a, n).alias("piece")) for k, (a, n) in enumerate(_thirds(size))])
+    left = texts.select(F.col("t").alias("ngram"), size.alias("size"), F.explode(parts).alias("p")).select("ngram", "size", "p.*")
+    moved = F.sequence(F.lit(-max_distance), F.lit(max_distance))
+    sized = terms.select("t", F.explode(F.transform(moved, lambda m: F.length("t") + m)).alias("size")).where("size >= 6")
+
+    def could(part: int, at: Column, n: Column) -> Column:
+        here = F.filter(moved, lambda m: at + m >= 1)
+        return F.transform(here, lambda m: F.struct(F.lit(part).alias("part"), F.substr(F.col("t"), at + m, n).alias("piece")))
+
+    pieces = F.array_distinct(F.concat(*[could(k, a, n) for k, (a, n) in enumerate(_thirds(F.col("size")))]))
+    right = sized.select(F.col("t").alias("term_normalized"), "size", F.explode(pieces).alias("p")).select("term_normalized", "size", "p.*")
+    long_words = lambda c: F.filter(F.split(c, " "), lambda w: F.length(w) >= 3)
+    pairs = left.join(right, ["size", "part", "piece"]).select("ngram", "term_normalized").distinct()
     pairs = pairs.withColumn("distance", F.levenshtein("ngram", "term_normalized", max_distance)).where("distance between 1 and " + str(max_distance))
+    pairs = pairs.where(F.arrays_overlap(long_words("ngram"), long_words("term_normalized")))
     score = 1 - F.col("distance") / F.greatest(F.length("ngram"), F.length("term_normalized"))
     return pairs.withColumn("score", F.round(score, 6)).where(F.col("score") >= least)
 

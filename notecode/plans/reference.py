@@ -106,7 +106,7 @@ def dict_exact_counts(spark, d):
 
 @query("with " + _DICT + ", " + _GRAMS + """, terms as (select distinct term_normalized as t from dict where length(term_normalized) >= 6), texts as (select distinct ngram as x from grams where length(ngram) >= 6 and ngram not in (select t from terms)),
     tt as (select t, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: length(w) >= 3))) as w from terms), tx as (select x, unnest(list_distinct(list_filter(string_split(x, ' '), lambda w: length(w) >= 3))) as w from texts),
-    pairs as (select distinct x, t, levenshtein(regexp_replace(x, '[^\\x00-\\x7f]', '?', 'g'), t) as distance from tx join tt on tx.w = tt.w and abs(length(x) - length(t)) <= 2)
+    pairs as (select distinct x, t, levenshtein(regexp_replace(x, '[^\\x00-\\x7f]', '?', 'g'), regexp_replace(t, '[^\\x00-\\x7f]', '?', 'g')) as distance from tx join tt on tx.w = tt.w and abs(length(x) - length(t)) <= 2)
     select x as ngram, t as term_normalized, cast(distance as int) as distance, round(1 - distance / cast(greatest(length(x), length(t)) as double), 6) as score from pairs where distance between 1 and 2 and round(1 - distance / cast(greatest(length(x), length(t)) as double), 6) >= 0.85""")
 def dict_fuzzy_pairs(spark, d):
     grams = dictionary_match.extract_ngrams(table(spark, d, "document_sections"))
@@ -258,7 +258,7 @@ def tier1_exact(spark, d):
 _TIER1 = """terms as (select distinct term_normalized as t from dict), done as (select distinct entity_id from merged_entities m join dict on """ + _NORM.format("m.entity_text") + """ = term_normalized),
     rest as (select distinct entity_id, """ + _NORM.format("entity_text") + """ as key from merged_entities where entity_text is not null and entity_id not in (select entity_id from done)),
     tk as (select distinct key, unnest(list_distinct(list_filter(string_split(key, ' '), lambda w: length(w) >= 3))) as w from rest where key <> ''), tt as (select t, unnest(list_distinct(list_filter(string_split(t, ' '), lambda w: length(w) >= 3))) as w from terms),
-    pairs as (select distinct key, t, levenshtein(regexp_replace(key, '[^\\x00-\\x7f]', '?', 'g'), t) as distance from tk join tt on tk.w = tt.w and abs(length(key) - length(t)) <= 5),
+    pairs as (select distinct key, t, levenshtein(regexp_replace(key, '[^\\x00-\\x7f]', '?', 'g'), regexp_replace(t, '[^\\x00-\\x7f]', '?', 'g')) as distance from tk join tt on tk.w = tt.w and abs(length(key) - length(t)) <= 5),
     best as (select key, min({'d': distance, 't': t}) as m from pairs where distance <= greatest(floor(length(key) * 0.3e0), 3) group by 1)"""
 
 

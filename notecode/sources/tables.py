@@ -22,29 +22,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where the session names none (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder. A folder of our own where the session names none, and only if the session is this one process."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        held = spark.sparkContext.getCheckpointDir()
-        configured = held or f"file://{tempfile.mkdtemp(prefix='notecode-')}"
-        if not held:
-            spark.sparkContext.setCheckpointDir(configured)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = f"file://{tempfile.mkdtemp(prefix='notecode-')}"
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
 
+def _staged(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     This cuts lineage and fixes values that would differ on a re-run (generated ids);
     columnar and compressed, it is smaller than ``checkpoint()`` and prunes on re-read.
+    The folder stays until ``release``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{_staged(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> bool:
+    """Delete all that this application has staged. Frames made from it cannot be read after."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def _share(spark: SparkSession, data: bytes, name: str) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/files/{name}")
