@@ -171,7 +171,11 @@ def assemble_umls(matches: DataFrame, hierarchy: DataFrame, existing: DataFrame)
     return out.withColumn("mapping_id", stable_id("UMLS-", "entity_id", "cui", "source_code"))
 
 
-def coverage_by_type(active: DataFrame, icd: DataFrame, loinc: DataFrame) -> DataFrame:
-    coded = icd.select("entity_id").unionByName(loinc.select("entity_id")).distinct().withColumn("_c", F.lit(1))
-    out = active.join(coded, "entity_id", "left").groupBy("entity_type").agg(F.count("*").alias("n_entities"), F.count("_c").alias("n_coded"))
-    return out.withColumn("pct_coded", F.round(F.lit(100.0) * F.col("n_coded") / F.col("n_entities"), 1))
+def coverage_by_type(active: DataFrame, icd: DataFrame, loinc: DataFrame, umls: DataFrame) -> DataFrame:
+    """Entities of each type, and how many of them have a code of each system; a type's share is that of the better code system."""
+    marks = [m.select("entity_id").where("entity_id is not null").distinct().select("entity_id", F.lit(k).alias("system")) for k, m in (("icd10_coded", icd), ("loinc_coded", loinc), ("umls_mapped", umls))]
+    coded = marks[0].unionByName(marks[1]).unionByName(marks[2]).groupBy("entity_id").agg(F.collect_set("system").alias("_s"))  # at most three
+    rows = active.select("entity_id", "entity_type").distinct().join(coded, "entity_id", "left")
+    named = ("icd10_coded", "loinc_coded", "umls_mapped")
+    out = rows.groupBy("entity_type").agg(F.count("*").alias("total_entities"), *[F.count_if(F.array_contains("_s", k)).alias(k) for k in named])
+    return out.withColumn("coding_pct", F.round(F.greatest("icd10_coded", "loinc_coded") * 100.0 / F.greatest("total_entities", F.lit(1)), 1))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.clinical import bins
+from ..functions.clinical import bins, is_specific
 
 
 def layer_venn(merged: DataFrame) -> DataFrame:
@@ -17,44 +17,122 @@ def layer_venn(merged: DataFrame) -> DataFrame:
     return merged.groupBy(has("dictionary"), has("ner"), has("llm")).agg(F.count("*").alias("n_entities"), F.round(F.round(F.avg("ensemble_confidence"), 10), 4).alias("avg_confidence"))
 
 
+def _has(layer: str) -> Column:
+    return F.coalesce(F.array_contains("sources", layer), F.lit(False))
+
+
+def _avg(column: Column | str, digits: int = 4) -> Column:
+    return F.round(F.round(F.avg(column), 10), digits)
+
+
+LAYERS = {"dict": "dictionary", "ner": "ner", "llm": "llm"}
+
+
+def layer_contribution(merged: DataFrame) -> DataFrame:
+    """One row: how many entities each layer found, alone and with others, and the confidence by number of layers."""
+    d, n, m = _has("dictionary"), _has("ner"), _has("llm")
+    k = F.size(F.array_distinct("sources"))
+    return merged.agg(
+        F.count("*").alias("total_entities"), *[F.count_if(_has(v)).alias(f"{a}_found") for a, v in LAYERS.items()],
+        F.count_if(d & ~n & ~m).alias("dict_unique"), F.count_if(n & ~d & ~m).alias("ner_unique"), F.count_if(m & ~d & ~n).alias("llm_unique"),
+        F.count_if(d & n & m).alias("all_three"), F.count_if(d & n & ~m).alias("dict_and_ner_only"), F.count_if(d & m & ~n).alias("dict_and_llm_only"), F.count_if(n & m & ~d).alias("ner_and_llm_only"),
+        *[_avg(F.when(k == i, F.col("ensemble_confidence")), 6).alias(f"avg_conf_{name}") for i, name in ((1, "single_source"), (2, "two_sources"), (3, "three_sources"))],
+    )
+
+
 def layer_by_type(merged: DataFrame) -> DataFrame:
-    has = lambda s: F.coalesce(F.array_contains("sources", s), F.lit(False))
-    only = lambda s: F.count_if(has(s) & (F.size("sources") == 1))
-    return merged.groupBy("entity_type").agg(F.count("*").alias("total"), *[F.count_if(has(s)).alias(f"{s}_total") for s in ("dictionary", "ner", "llm")], *[only(s).alias(f"{s}_only") for s in ("dictionary", "ner", "llm")], F.count_if(F.size("sources") >= 2).alias("multi_source"))
+    d, n, m = _has("dictionary"), _has("ner"), _has("llm")
+    alone = {"dict": d & ~n & ~m, "ner": n & ~d & ~m, "llm": m & ~d & ~n}
+    return merged.groupBy("entity_type").agg(F.count("*").alias("total"), *[F.count_if(_has(v)).alias(f"{a}_found") for a, v in LAYERS.items()], *[F.count_if(c).alias(f"{a}_unique") for a, c in alone.items()], F.count_if(F.size("sources") >= 2).alias("multi_source"), _avg("ensemble_confidence").alias("avg_confidence"))
+
+
+def totals_per_source(merged: DataFrame) -> DataFrame:
+    """(source, total, unique_count): entities each layer found, and found alone; one pass over the entities."""
+    each = merged.select(F.size("sources").alias("k"), F.explode(F.array_distinct("sources")).alias("source"))
+    return each.where(F.col("source").isin(*LAYERS.values())).groupBy("source").agg(F.count("*").alias("total"), F.count_if(F.col("k") == 1).alias("unique_count"))
+
+
+def source_categories(merged: DataFrame) -> DataFrame:
+    kind = F.when(_has("dictionary") & _has("llm"), "both").when(_has("dictionary"), "dictionary_only").when(_has("llm"), "llm_only").otherwise("other")
+    return merged.groupBy(kind.alias("source_category")).agg(F.count("*").alias("entity_count"), _avg("ensemble_confidence", 3).alias("avg_confidence"))
+
+
+def _section_types(sections: DataFrame) -> DataFrame:
+    """Sections count once per id."""
+    return sections.groupBy("section_id").agg(F.min("section_type").alias("section_type"))
 
 
 def section_quality(merged: DataFrame, sections: DataFrame) -> DataFrame:
-    """Entities, charts and confidence by section type; sections count once per id."""
-    s = sections.groupBy("section_id").agg(F.min("section_type").alias("section_type"))
-    return merged.join(s, "section_id").groupBy("section_type").agg(F.count("*").alias("n_entities"), F.countDistinct("chart_id").alias("n_charts"), F.round(F.round(F.avg("ensemble_confidence"), 10), 4).alias("avg_confidence"), F.count_if(F.col("ensemble_confidence") < 0.7).alias("low_confidence"))
+    """Entities, layers, charts and confidence by section type."""
+    ids = lambda when: F.countDistinct(F.when(when, F.col("entity_id")))
+    g = merged.join(_section_types(sections), "section_id").groupBy("section_type").agg(
+        F.countDistinct("entity_id").alias("entities_found"), _avg("ensemble_confidence").alias("avg_confidence"), *[ids(_has(v)).alias(f"{a}_found") for a, v in LAYERS.items()],
+        F.countDistinct("chart_id").alias("charts_with_section"), F.count_if(F.col("ensemble_confidence") < 0.7).alias("low_confidence"),
+    )
+    return g.withColumn("entities_per_chart", F.round(F.col("entities_found") / F.nullif(F.col("charts_with_section"), F.lit(0)), 2))
 
 
 def confidence_by_section(merged: DataFrame, sections: DataFrame) -> DataFrame:
-    s = sections.groupBy("section_id").agg(F.min("section_type").alias("section_type"))
-    band = bins(F.col("ensemble_confidence"), [(0.9, "high"), (0.7, "medium"), (0.5, "low")], "very low")
-    return merged.where("ensemble_confidence is not null").join(s, "section_id").groupBy("section_type", band.alias("band")).agg(F.count("*").alias("n_entities"))
+    band = bins(F.col("ensemble_confidence"), [(0.9, "high (>=0.9)"), (0.7, "medium (0.7-0.9)"), (0.5, "low (0.5-0.7)")], "very_low (<0.5)")
+    return merged.join(_section_types(sections), "section_id").groupBy("section_type", band.alias("confidence_bin")).agg(F.count("*").alias("entity_count"))
 
 
 def note_density(charts: DataFrame, merged: DataFrame) -> DataFrame:
-    """Charts by entities per 1,000 characters of their note."""
-    length = charts.groupBy("chart_id").agg(F.max(F.length("raw_text")).alias("n_chars")).where("n_chars > 0")
-    n = merged.groupBy("chart_id").agg(F.count("*").alias("n"), F.round(F.avg("ensemble_confidence"), 10).alias("c"))
-    rows = length.join(n, "chart_id", "left").withColumn("density", F.coalesce("n", F.lit(0)) * 1000.0 / F.col("n_chars"))
-    band = bins(F.col("density"), [(20, "20+"), (10, "10-20"), (5, "5-10"), (2, "2-5")], "0-2")
-    return rows.groupBy(band.alias("density_band")).agg(F.count("*").alias("n_charts"), F.round(F.avg("density"), 2).alias("avg_density"), F.round(F.round(F.avg("c"), 10), 3).alias("avg_confidence"))
+    """Charts by entities per 1,000 characters of their note; a word is taken for five characters."""
+    length = charts.groupBy("chart_id").agg(F.max(F.length("raw_text")).alias("chars")).where("chars > 0")
+    n = merged.groupBy("chart_id").agg(F.count("entity_id").alias("n"), F.round(F.avg("ensemble_confidence"), 10).alias("c"))
+    rows = length.join(n, "chart_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    edges = [(20, "5. very_high (20+/1k chars)"), (10, "4. high (10-20/1k chars)"), (5, "3. medium (5-10/1k chars)"), (2, "2. low (2-5/1k chars)")]
+    band = bins(F.col("n") / (F.col("chars") / 1000.0), edges, "1. sparse (<2/1k chars)")
+    return rows.groupBy(band.alias("density_bin")).agg(F.count("*").alias("chart_count"), _avg("n", 1).alias("avg_entities"), _avg("c").alias("avg_confidence"), _avg(F.col("chars") / 5.0, 0).alias("avg_word_count"), F.round(F.min("c"), 4).alias("min_confidence"), F.round(F.max("c"), 4).alias("max_confidence"))
 
 
 def assertion_distribution(assertions: DataFrame) -> DataFrame:
-    total = W.partitionBy()
-    g = assertions.groupBy("assertion_status", "temporality", "experiencer").agg(F.count("*").alias("n"))
-    return g.withColumn("pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(total), 2))
+    g = assertions.groupBy("assertion_status", "negation_detected", "temporality", "experiencer", "certainty").agg(F.count("*").alias("entity_count"), _avg("confidence").alias("avg_confidence"))
+    return g.withColumn("pct", F.round(F.lit(100.0) * F.col("entity_count") / F.sum("entity_count").over(W.partitionBy()), 2))
+
+
+def assertion_shares(assertions: DataFrame, column: str) -> DataFrame:
+    """(name, count, pct) of one field of the assertions; null is UNKNOWN."""
+    g = assertions.groupBy(F.coalesce(column, F.lit("UNKNOWN")).alias("name")).agg(F.count("*").alias("count"))
+    return g.withColumn("pct", F.round(F.lit(100.0) * F.col("count") / F.sum("count").over(W.partitionBy()), 1))
+
+
+def assertion_kpis(assertions: DataFrame) -> DataFrame:
+    """One row: assertions in all, and the shares of absent, past and family ones."""
+    share = lambda status: F.round(F.count_if(F.col("assertion_status") == status) * 100.0 / F.nullif(F.count("*"), F.lit(0)), 1)
+    return assertions.agg(F.count("*").alias("total_classified"), share("ABSENT").alias("negated_pct"), share("HISTORICAL").alias("historical_pct"), share("FAMILY").alias("family_pct"))
 
 
 def negation_by_section(assertions: DataFrame, entities: DataFrame, sections: DataFrame) -> DataFrame:
-    s = sections.groupBy("section_id").agg(F.min("section_type").alias("section_type"))
-    e = entities.where("section_id is not null").select("entity_id", "section_id").distinct()
-    g = assertions.join(e, "entity_id").join(s, "section_id").groupBy("section_type").agg(F.count("*").alias("n"), F.count_if("negation_detected").alias("n_negated"))
-    return g.withColumn("negation_rate", F.round(F.col("n_negated") / F.nullif(F.col("n"), F.lit(0)), 4))
+    """Assertions by the section of their entity; entities without a known section are UNKNOWN."""
+    e = entities.where("section_id is not null").groupBy("entity_id").agg(F.min("section_id").alias("section_id"))
+    g = assertions.join(e, "entity_id", "left").join(_section_types(sections), "section_id", "left").groupBy(F.coalesce("section_type", F.lit("UNKNOWN")).alias("section_type"))
+    out = g.agg(F.count("*").alias("total_assertions"), F.count_if("negation_detected").alias("negated_count"), _avg(F.when(F.col("negation_detected"), F.col("confidence"))).alias("avg_negation_confidence"))
+    return out.withColumn("negation_rate_pct", F.round(F.col("negated_count") * 100.0 / F.nullif(F.col("total_assertions"), F.lit(0)), 2))
+
+
+def mapping_quality(mappings: DataFrame, code_type: str) -> DataFrame:
+    """One row per code system: how much is mapped, to how many codes, how surely and by which path."""
+    path = lambda p, name: F.count_if(F.col("resolution_path") == p).alias(name)
+    out = mappings.agg(F.count("*").alias("total_mappings"), F.count("code").alias("mapped_count"), F.countDistinct("code").alias("unique_codes_assigned"), _avg("confidence").alias("avg_confidence"), path("ONTOLOGY_DIRECT", "via_ontology"), path("LLM_ASSIGNED", "via_llm"), path("R1_R2_AGREE", "via_multipass"))
+    return out.select(F.lit(code_type).alias("code_type"), "*", F.round(F.col("mapped_count") * 100.0 / F.nullif(F.col("total_mappings"), F.lit(0)), 2).alias("mapping_success_pct"))
+
+
+def resolution_paths(mappings: DataFrame) -> DataFrame:
+    """Mappings of one system by the path that resolved them."""
+    c = F.col("confidence")
+    return mappings.groupBy("resolution_path").agg(F.count("*").alias("count"), _avg(c, 3).alias("avg_confidence"), F.round(F.min(c), 3).alias("min_confidence"), F.round(F.max(c), 3).alias("max_confidence"), F.count_if(is_specific(F.col("code"))).alias("specific_count"))
+
+
+def tier_totals(icd: DataFrame, loinc: DataFrame) -> DataFrame:
+    """One row: codes of both systems by ontology and by model, and the shares of the two."""
+    named = {"ONTOLOGY_DIRECT": "tier1", "LLM_ASSIGNED": "tier2"}
+    both = icd.select("resolution_path", F.lit("icd10").alias("s")).unionByName(loinc.select("resolution_path", F.lit("loinc").alias("s")))
+    out = both.agg(*[F.count_if((F.col("resolution_path") == p) & (F.col("s") == system)).alias(f"{tier}_{system}") for p, tier in named.items() for system in ("icd10", "loinc")])
+    total = lambda tier: F.col(f"{tier}_icd10") + F.col(f"{tier}_loinc")
+    coded = F.greatest(total("tier1") + total("tier2"), F.lit(1))
+    return out.withColumns({f"{t}_pct": F.round(total(t) * 100.0 / coded, 1) for t in ("tier1", "tier2")})
 
 
 def specificity_levels(mappings: DataFrame, code: str = "code") -> DataFrame:

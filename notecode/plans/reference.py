@@ -212,13 +212,31 @@ def layer_venn(spark, d):
     return quality.layer_venn(table(spark, d, "merged_entities"))
 
 
-@query("""select entity_type, count(*) as total, count(*) filter (where list_contains(sources, 'dictionary')) as dictionary_total, count(*) filter (where list_contains(sources, 'ner')) as ner_total, count(*) filter (where list_contains(sources, 'llm')) as llm_total,
-    count(*) filter (where list_contains(sources, 'dictionary') and len(sources) = 1) as dictionary_only, count(*) filter (where list_contains(sources, 'ner') and len(sources) = 1) as ner_only,
-    count(*) filter (where list_contains(sources, 'llm') and len(sources) = 1) as llm_only, count(*) filter (where len(sources) >= 2) as multi_source from merged_entities group by 1""")
+_FLAGS = "(select *, list_contains(sources, 'dictionary') as d, list_contains(sources, 'ner') as n, list_contains(sources, 'llm') as m, len(list_distinct(sources)) as k from merged_entities)"
+_FOUND = "count(*) filter (where d) as dict_found, count(*) filter (where n) as ner_found, count(*) filter (where m) as llm_found, count(*) filter (where d and not n and not m) as dict_unique, count(*) filter (where n and not d and not m) as ner_unique, count(*) filter (where m and not d and not n) as llm_unique"
+
+
+@query(f"""select entity_type, count(*) as total, {_FOUND}, count(*) filter (where len(sources) >= 2) as multi_source, round(round(avg(ensemble_confidence), 10), 4) as avg_confidence from {_FLAGS} group by 1""")
 def layer_by_type(spark, d):
     return quality.layer_by_type(table(spark, d, "merged_entities"))
 
 
+@query(f"""select count(*) as total_entities, {_FOUND}, count(*) filter (where d and n and m) as all_three, count(*) filter (where d and n and not m) as dict_and_ner_only, count(*) filter (where d and m and not n) as dict_and_llm_only, count(*) filter (where n and m and not d) as ner_and_llm_only,
+    round(round(avg(ensemble_confidence) filter (where k = 1), 10), 6) as avg_conf_single_source, round(round(avg(ensemble_confidence) filter (where k = 2), 10), 6) as avg_conf_two_sources, round(round(avg(ensemble_confidence) filter (where k = 3), 10), 6) as avg_conf_three_sources from {_FLAGS}""")
+def layer_contribution(spark, d):
+    return quality.layer_contribution(table(spark, d, "merged_entities"))
+
+
+@query("select source, count(*) as total, count(*) filter (where k = 1) as unique_count from (select len(sources) as k, unnest(list_distinct(sources)) as source from merged_entities) t where source in ('dictionary', 'ner', 'llm') group by 1")
+def totals_per_source(spark, d):
+    return quality.totals_per_source(table(spark, d, "merged_entities"))
+
+
+@query(f"select case when d and m then 'both' when d then 'dictionary_only' when m then 'llm_only' else 'other' end as source_category, count(*) as entity_count, round(round(avg(ensemble_confidence), 10), 3) as avg_confidence from {_FLAGS} group by 1")
+def source_categories(spark, d):
+    return quality.source_categories(table(spark, d, "merged_entities"))
+
+
 @query("select array_to_string(list_sort(list_distinct(sources)), ' + ') as source_group, match_count, count(*) as n from merged_entities group by 1, 2")
 def source_groups(spark, d):
     return table(spark, d, "merged_entities").groupBy(merge.source_group(F.col("sources")).alias("source_group"), "match_count").agg(F.count("*").alias("n"))
@@ -351,12 +369,27 @@ def parse_codes(spark, d):
     return coding.parse_codes(raw).select("chart_id", "entity_id", "code", "confidence")
 
 
-@query("""select entity_type, count(*) as n_entities, count(c.entity_id) as n_coded, round(100.0e0 * count(c.entity_id) / count(*), 1) as pct_coded from merged_entities m
-    left join (select distinct entity_id from merged_entities where entity_type in ('DIAGNOSIS', 'LAB_RESULT') and ensemble_confidence >= 0.8) c on c.entity_id = m.entity_id group by 1""")
+@query("""select m.entity_type, count(*) as total_entities, count(i.entity_id) as icd10_coded, count(l.entity_id) as loinc_coded, count(u.entity_id) as umls_mapped, round(100.0e0 * greatest(count(i.entity_id), count(l.entity_id)) / greatest(count(*), 1), 1) as coding_pct
+    from (select distinct entity_id, entity_type from merged_entities) m left join (select distinct entity_id from icd10_mappings) i on i.entity_id = m.entity_id left join (select distinct entity_id from loinc_mappings) l on l.entity_id = m.entity_id
+    left join (select distinct entity_id from umls_mappings) u on u.entity_id = m.entity_id group by 1""", roles=("icd10_mappings", "loinc_mappings", "umls_mappings"))
 def coding_coverage(spark, d):
-    merged = table(spark, d, "merged_entities")
-    sure = merged.where("ensemble_confidence >= 0.8")
-    return coding.coverage_by_type(merged, sure.where("entity_type = 'DIAGNOSIS'"), sure.where("entity_type = 'LAB_RESULT'"))
+    return coding.coverage_by_type(table(spark, d, "merged_entities"), role(spark, d, "icd10_mappings"), role(spark, d, "loinc_mappings"), role(spark, d, "umls_mappings"))
+
+
+@query("""select resolution_path, count(*) as count, round(round(avg(confidence), 10), 3) as avg_confidence, round(min(confidence), 3) as min_confidence, round(max(confidence), 3) as max_confidence, count(*) filter (where not (code like '%.9%' or length(replace(code, '.', '')) < 5)) as specific_count from icd10_mappings group by 1""", roles=("icd10_mappings",))
+def icd10_paths(spark, d):
+    return quality.resolution_paths(role(spark, d, "icd10_mappings"))
+
+
+@query("""select resolution_path, count(*) as count, round(round(avg(confidence), 10), 3) as avg_confidence, round(min(confidence), 3) as min_confidence, round(max(confidence), 3) as max_confidence from loinc_mappings group by 1""", roles=("loinc_mappings",))
+def loinc_paths(spark, d):
+    return quality.resolution_paths(role(spark, d, "loinc_mappings")).drop("specific_count")
+
+
+@query("""select tier1_icd10, tier1_loinc, tier2_icd10, tier2_loinc, round(100.0e0 * (tier1_icd10 + tier1_loinc) / greatest(tier1_icd10 + tier1_loinc + tier2_icd10 + tier2_loinc, 1), 1) as tier1_pct, round(100.0e0 * (tier2_icd10 + tier2_loinc) / greatest(tier1_icd10 + tier1_loinc + tier2_icd10 + tier2_loinc, 1), 1) as tier2_pct from
+    (select (select count(*) from icd10_mappings where resolution_path = 'ONTOLOGY_DIRECT') as tier1_icd10, (select count(*) from loinc_mappings where resolution_path = 'ONTOLOGY_DIRECT') as tier1_loinc, (select count(*) from icd10_mappings where resolution_path = 'LLM_ASSIGNED') as tier2_icd10, (select count(*) from loinc_mappings where resolution_path = 'LLM_ASSIGNED') as tier2_loinc) t""", roles=("icd10_mappings", "loinc_mappings"))
+def tier_totals(spark, d):
+    return quality.tier_totals(role(spark, d, "icd10_mappings"), role(spark, d, "loinc_mappings"))
 
 
 # --- feedback ---
@@ -435,33 +468,56 @@ def error_status(spark, d):
 _SEC = "s as (select section_id, min(section_type) as section_type from document_sections group by 1)"
 
 
-@query("with " + _SEC + " select section_type, count(*) as n_entities, count(distinct m.chart_id) as n_charts, round(round(avg(ensemble_confidence), 10), 4) as avg_confidence, count(*) filter (where ensemble_confidence < 0.7) as low_confidence from merged_entities m join s using (section_id) group by 1")
+@query("with " + _SEC + """ select section_type, count(distinct entity_id) as entities_found, round(round(avg(ensemble_confidence), 10), 4) as avg_confidence, count(distinct case when list_contains(sources, 'dictionary') then entity_id end) as dict_found, count(distinct case when list_contains(sources, 'ner') then entity_id end) as ner_found,
+    count(distinct case when list_contains(sources, 'llm') then entity_id end) as llm_found, count(distinct m.chart_id) as charts_with_section, count(*) filter (where ensemble_confidence < 0.7) as low_confidence, round(count(distinct entity_id) / cast(count(distinct m.chart_id) as double), 2) as entities_per_chart from merged_entities m join s using (section_id) group by 1""")
 def section_quality(spark, d):
     return quality.section_quality(table(spark, d, "merged_entities"), table(spark, d, "document_sections"))
 
 
-@query("with " + _SEC + " select section_type, case when ensemble_confidence >= 0.9 then 'high' when ensemble_confidence >= 0.7 then 'medium' when ensemble_confidence >= 0.5 then 'low' else 'very low' end as band, count(*) as n_entities from merged_entities m join s using (section_id) where ensemble_confidence is not null group by 1, 2")
+@query("with " + _SEC + " select section_type, case when ensemble_confidence >= 0.9 then 'high (>=0.9)' when ensemble_confidence >= 0.7 then 'medium (0.7-0.9)' when ensemble_confidence >= 0.5 then 'low (0.5-0.7)' else 'very_low (<0.5)' end as confidence_bin, count(*) as entity_count from merged_entities m join s using (section_id) group by 1, 2")
 def confidence_by_section(spark, d):
     return quality.confidence_by_section(table(spark, d, "merged_entities"), table(spark, d, "document_sections"))
 
 
-@query("""with l as (select chart_id, max(length(raw_text)) as n_chars from charts group by 1 having max(length(raw_text)) > 0), n as (select chart_id, count(*) as n, round(avg(ensemble_confidence), 10) as c from merged_entities group by 1),
-    r as (select coalesce(n, 0) * 1000.0e0 / n_chars as density, c from l left join n on l.chart_id = n.chart_id)
-    select case when density >= 20 then '20+' when density >= 10 then '10-20' when density >= 5 then '5-10' when density >= 2 then '2-5' else '0-2' end as density_band, count(*) as n_charts, round(avg(density), 2) as avg_density, round(round(avg(c), 10), 3) as avg_confidence from r group by 1""")
+@query("""with l as (select chart_id, max(length(raw_text)) as chars from charts group by 1 having max(length(raw_text)) > 0), n as (select chart_id, count(entity_id) as n, round(avg(ensemble_confidence), 10) as c from merged_entities group by 1),
+    r as (select chars, coalesce(n, 0) as n, c, coalesce(n, 0) / (chars / 1000.0e0) as density from l left join n on l.chart_id = n.chart_id)
+    select case when density >= 20 then '5. very_high (20+/1k chars)' when density >= 10 then '4. high (10-20/1k chars)' when density >= 5 then '3. medium (5-10/1k chars)' when density >= 2 then '2. low (2-5/1k chars)' else '1. sparse (<2/1k chars)' end as density_bin,
+    count(*) as chart_count, round(round(avg(n), 10), 1) as avg_entities, round(round(avg(c), 10), 4) as avg_confidence, round(round(avg(chars / 5.0e0), 10), 0) as avg_word_count, round(min(c), 4) as min_confidence, round(max(c), 4) as max_confidence from r group by 1""")
 def note_density(spark, d):
     return quality.note_density(table(spark, d, "charts"), table(spark, d, "merged_entities"))
 
 
-@query("select assertion_status, temporality, experiencer, count(*) as n, round(100.0e0 * count(*) / sum(count(*)) over (), 2) as pct from assertions group by 1, 2, 3", roles=("assertions",))
+@query("select assertion_status, negation_detected, temporality, experiencer, certainty, count(*) as entity_count, round(round(avg(confidence), 10), 4) as avg_confidence, round(100.0e0 * count(*) / sum(count(*)) over (), 2) as pct from assertions group by 1, 2, 3, 4, 5", roles=("assertions",))
 def assertion_distribution(spark, d):
     return quality.assertion_distribution(role(spark, d, "assertions"))
 
 
-@query("select section_type, count(*) as n, count(*) filter (where negation_detected) as n_negated, round(count(*) filter (where negation_detected) / nullif(count(*), 0), 4) as negation_rate from assertions a join (select distinct entity_id, section_id from llm_entities where section_id is not null) e using (entity_id) join (select section_id, min(section_type) as section_type from document_sections group by 1) s using (section_id) group by 1", roles=("assertions",))
+@query("select 'status' as field, assertion_status as name, count(*) as count, round(100.0e0 * count(*) / sum(count(*)) over (), 1) as pct from assertions group by 2 union all select 'experiencer', experiencer, count(*), round(100.0e0 * count(*) / sum(count(*)) over (), 1) from assertions group by 2 union all select 'temporality', temporality, count(*), round(100.0e0 * count(*) / sum(count(*)) over (), 1) from assertions group by 2", roles=("assertions",))
+def assertion_shares(spark, d):
+    a = role(spark, d, "assertions")
+    parts = [quality.assertion_shares(a, c).withColumn("field", F.lit(name)) for name, c in (("status", "assertion_status"), ("experiencer", "experiencer"), ("temporality", "temporality"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("select count(*) as total_classified, round(100.0e0 * count(*) filter (where assertion_status = 'ABSENT') / count(*), 1) as negated_pct, round(100.0e0 * count(*) filter (where assertion_status = 'HISTORICAL') / count(*), 1) as historical_pct, round(100.0e0 * count(*) filter (where assertion_status = 'FAMILY') / count(*), 1) as family_pct from assertions", roles=("assertions",))
+def assertion_kpis(spark, d):
+    return quality.assertion_kpis(role(spark, d, "assertions"))
+
+
+@query("""select coalesce(section_type, 'UNKNOWN') as section_type, count(*) as total_assertions, count(*) filter (where negation_detected) as negated_count, round(round(avg(case when negation_detected then confidence end), 10), 4) as avg_negation_confidence, round(100.0e0 * count(*) filter (where negation_detected) / nullif(count(*), 0), 2) as negation_rate_pct
+    from assertions a left join (select entity_id, min(section_id) as section_id from llm_entities where section_id is not null group by 1) e using (entity_id) left join (select section_id, min(section_type) as section_type from document_sections group by 1) s using (section_id) group by 1""", roles=("assertions",))
 def negation_by_section(spark, d):
     return quality.negation_by_section(role(spark, d, "assertions"), table(spark, d, "llm_entities"), table(spark, d, "document_sections"))
 
 
+_MAPQ = "select '{1}' as code_type, count(*) as total_mappings, count(code) as mapped_count, count(distinct code) as unique_codes_assigned, round(round(avg(confidence), 10), 4) as avg_confidence, count(*) filter (where resolution_path = 'ONTOLOGY_DIRECT') as via_ontology, count(*) filter (where resolution_path = 'LLM_ASSIGNED') as via_llm, count(*) filter (where resolution_path = 'R1_R2_AGREE') as via_multipass, round(100.0e0 * count(code) / nullif(count(*), 0), 2) as mapping_success_pct from {0}"
+
+
+@query(_MAPQ.format("icd10_mappings", "ICD-10") + " union all " + _MAPQ.format("loinc_mappings", "LOINC"), roles=("icd10_mappings", "loinc_mappings"))
+def mapping_quality(spark, d):
+    return quality.mapping_quality(role(spark, d, "icd10_mappings"), "ICD-10").unionByName(quality.mapping_quality(role(spark, d, "loinc_mappings"), "LOINC"))
+
+
 @query("""select case when length(code) <= 4 then 'category (3-4 char)' when length(code) <= 5 then 'subcategory (5 char)' when length(code) <= 6 then 'specific (6 char)' else 'most_specific (7+ char)' end as specificity_level,
     count(*) as code_count, round(round(avg(confidence), 10), 4) as avg_confidence, round(100.0e0 * count(*) / sum(count(*)) over (), 2) as pct_of_total from lengths where code is not null group by 1""", roles=("mappings",))
 def specificity_levels(spark, d):

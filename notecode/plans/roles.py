@@ -55,12 +55,14 @@ ROLES = {
             case length(min(m.entity_text)) % 6 when 0 then 'ONTOLOGY_DIRECT' when 1 then 'R1_R2_AGREE' when 2 then 'ARBITER_CHOSE_R2' when 3 then 'DISPUTED_UNRESOLVED' when 4 then 'HUMAN_OVERRIDE' else 'LLM_ASSIGNED' end as resolution_path,
             min(merged_at) as created_at, min(m.method) as method, min(m.specimen_type) as specimen_type
         from merged_entities m left join umls_concepts u on u.preferred_name = m.entity_text where m.entity_type = 'LAB_RESULT' and m.entity_text is not null and ensemble_confidence is not null group by entity_id""",
+    "umls_mappings": "select distinct m.entity_id, u.cui from merged_entities m join umls_concepts u on lower(m.entity_text) = lower(u.preferred_name)",
     "ner": "select * from llm_entities where extraction_role = 'explicit'",
     "llm": "select * from llm_entities where extraction_role in ('implicit', 'abbreviation')",
     "assertions": """
         select concat('ASSERT-', entity_id) as assertion_id, entity_id, chart_id,
             case k when 0 then 'ABSENT' when 1 then 'POSSIBLE' when 2 then 'HISTORICAL' when 3 then 'FAMILY' when 4 then 'CONDITIONAL' else 'PRESENT' end as assertion_status,
-            k = 0 as negation_detected, case when k = 2 then 'HISTORICAL' else 'CURRENT' end as temporality, case when k = 3 then 'FAMILY_MEMBER' else 'PATIENT' end as experiencer
+            k = 0 as negation_detected, case when k = 2 then 'HISTORICAL' else 'CURRENT' end as temporality, case when k = 3 then 'FAMILY_MEMBER' else 'PATIENT' end as experiencer,
+            case when k = 1 then 'POSSIBLE' else 'DEFINITE' end as certainty, round(0.5e0 + cast(k as double) / 20, 4) as confidence
         from (select distinct entity_id, chart_id, length(coalesce(reasoning, '')) % 7 as k from llm_entities) t""",
 }
 TABLES = ("orders", "part", "events", "nation", "region", "llm_entities", "merged_entities", "umls_concepts")
