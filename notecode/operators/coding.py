@@ -99,9 +99,10 @@ def chart_prompts(rows: DataFrame) -> DataFrame:
     entities are dealt out by a hash of their id, so that no prompt and no task grows with the chart.
     """
     line = F.concat_ws(" | ", *[F.coalesce(c, F.lit("")) for c in ("entity_id", "entity_type", "entity_text", "value", "unit")])
-    parts = rows.groupBy("chart_id").agg(F.ceil(F.count("*") / PROMPT_ENTITIES).alias("_parts"))
+    counts = rows.where("chart_id is not null").groupBy("chart_id").agg(F.count("*").alias("n"))
+    parts = counts.select("chart_id", F.ceil(F.col("n") / PROMPT_ENTITIES).alias("_parts"))
     dealt = F.pmod(F.conv(F.substring(F.md5("entity_id"), 1, 8), 16, 10).cast("long"), F.col("_parts"))
-    packed = rows.join(parts, "chart_id").withColumn("part", dealt.cast("int")).groupBy("chart_id", "part").agg(F.array_sort(F.collect_list(F.struct("entity_id", line.alias("line")))).alias("p"))
+    packed = lookup_join(rows, parts, "chart_id", hot_keys(counts, "chart_id")).withColumn("part", dealt.cast("int")).groupBy("chart_id", "part").agg(F.array_sort(F.collect_list(F.struct("entity_id", line.alias("line")))).alias("p"))
     return packed.select("chart_id", "part", F.transform("p", lambda x: x["entity_id"]).alias("entity_ids"), F.array_join(F.transform("p", lambda x: F.concat(F.lit("- "), x["line"])), "\n").alias("prompt"), F.size("p").alias("n_entities"))
 
 
