@@ -17,7 +17,7 @@ def char_ngrams(text: Column, n: int) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(padded, i, F.lit(n))))
 
 
-def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5, where: Column | None = None) -> DataFrame:
+def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: str, n: int = 2, within: tuple[str, ...] = (), least: float = 0.5, sizes: tuple[Column, Column] | None = None) -> DataFrame:
     """(text, within..., entry, cosine) of all pairs with a cosine of ``least`` or more.
 
     N-grams weigh log(1 + entries / entries that have it); n-grams no entry has weigh as
@@ -30,8 +30,11 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     cosine is reached, so no pair is lost while the long posting lists are not read. What a
     pair shares of the joined n-grams, and the most it can share of the others (they are
     all light ones of the side that leaves out more), bounds its cosine; only pairs whose
-    bound reaches ``least`` are scored in full. ``where`` is a cheap condition on text and
-    entry that pairs must meet besides; it is tested as they meet.
+    bound reaches ``least`` are scored in full. ``sizes``, if given, are the least and the
+    most characters an entry may have, as expressions of the text; tested as pairs meet.
+
+    Until they are scored pairs are known by hashes of their sides only. Texts that share a
+    hash can raise each other's bound, but not a score.
     """
     keys = [text, *within]
     total = entries.agg(F.count("*").alias("_total"))  # one row
@@ -51,19 +54,25 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
         reached = acc["sum"] + g["w"] * g["w"]
         return F.struct(reached.alias("sum"), (acc["skip"] + F.when(reached < most, 1).otherwise(0)).alias("skip"), F.when(reached < most, reached).otherwise(acc["rest"]).alias("rest"))
 
-    def heavy(rows: DataFrame, columns: list[str], norm: str, rest: str) -> DataFrame:
+    def heavy(rows: DataFrame, names: list[str], extra: dict[str, Column]) -> DataFrame:
+        """(gram, weight, id, norm, norm left out, extra...) of the n-grams that are joined."""
         left_out = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip"), F.lit(0.0).alias("rest")), step)
-        rows = rows.withColumn("_cut", left_out)
-        return rows.select(*columns, F.sqrt("_sq").alias(norm), F.col("_cut.rest").alias(rest), F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g")).select(*columns, norm, rest, F.col("g.gram").alias("gram"), F.col("g.w").alias(f"{norm}w"))
-
-    shared = heavy(texts, keys, "_sn", "_sr").join(heavy(vectors, [entry, *within], "_en", "_er").drop("_enw"), ["gram", *within])
-    if where is not None:
-        shared = shared.where(where)
-    pairs = shared.groupBy(*keys, entry).agg(F.sum(F.col("_snw") * F.col("_snw")).alias("_part"), *[F.first(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
-    pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).drop("_part", "_sr", "_er")
-    pairs = pairs.join(texts.select(*keys, F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
+        rows = rows.withColumns({"_cut": left_out, **extra})
+        rows = rows.select(*within, F.xxhash64(*names).alias("id"), F.sqrt("_sq").alias("norm"), F.col("_cut.rest").alias("rest"), *extra, F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g"))
+        return rows.select(*within, "id", "norm", "rest", *extra, F.col("g.gram").alias("gram"), F.col("g.w").alias("w"))
+
+    size = F.length(entry)
+    t = heavy(texts, keys, {} if sizes is None else {"_lo": sizes[0], "_hi": sizes[1]}).withColumnsRenamed({"id": "_t", "norm": "_sn", "rest": "_sr"})
+    e = heavy(vectors, [entry, *within], {} if sizes is None else {"_size": size}).withColumnsRenamed({"id": "_e", "norm": "_en", "rest": "_er"}).drop("w")
+    shared = t.join(e, ["gram", *within])
+    if sizes is not None:
+        shared = shared.where(F.col("_size").between(F.col("_lo"), F.col("_hi")))
+    pairs = shared.groupBy("_t", "_e").agg(F.sum(F.col("w") * F.col("w")).alias("_part"), *[F.max(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
+    pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).select("_t", "_e")
+    pairs = pairs.join(texts.select(*keys, F.xxhash64(*keys).alias("_t"), F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), "_t")
     dot = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.when(F.array_contains("_all", g["gram"]), g["w"] * g["w"]).otherwise(0.0))
-    scored = pairs.join(vectors.select(entry, *within, "_grams"), [entry, *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
+    named = vectors.select(entry, *within, F.xxhash64(entry, *within).alias("_e"), F.sqrt("_sq").alias("_en"), "_grams")
+    scored = pairs.join(named, ["_e", *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))
     return scored.where(F.col("cosine") >= least).select(*keys, entry, "cosine")
 
 
