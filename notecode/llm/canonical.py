@@ -113,8 +113,8 @@ def map_values(values: DataFrame, concepts: DataFrame) -> DataFrame:
     cut = F.when((cut >= 0) & (cut <= _allowed(F.length(a)) / 2), cut + 0.5)
     distance = F.least(whole, cut)
     # Lengths between which a name or its beginning can be meant by the rules above.
-    sizes = (F.length(b) >= F.length(a) - 4) & (F.length(b) <= F.greatest(F.length(a) + 4, F.length(a) * 2))
-    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE, where=sizes)
+    sizes = (F.length(a) - 4, F.greatest(F.length(a) + 4, F.length(a) * 2))
+    near = candidates(rest.select("sound"), sounds.select("entry").distinct(), text="sound", entry="entry", n=3, least=LEAST_COSINE, sizes=sizes)
     # An exact check of what the index accepts: the letters that differ, and the digits.
     near = near.withColumn("d", distance).where("d is not null")
     found = rest.select("text", "sound").join(near, "sound").join(sounds, "entry")
