@@ -308,8 +308,12 @@ def each_item(found: DataFrame) -> DataFrame:
 
 
 def redact(rows: DataFrame, given: DataFrame, *, id_col: str, text_col: str, out_col: str = "redacted") -> DataFrame:
-    """``rows`` with the text, items replaced by ``[TYPE]`` and otherwise unchanged, in ``out_col``; null and empty texts stay as they are."""
-    items = find_items(rows, given, id_col=id_col, text_col=text_col).select(F.col("record_id").alias("_id"), F.col("h").alias("_h"), F.col("items").alias("_items"))
+    """``rows`` with the text, items replaced by ``[TYPE]`` and otherwise unchanged, in ``out_col``.
+
+    Null and empty texts stay as they are; rows without an id are redacted too.
+    """
+    rows = rows.withColumn("_rid", F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    items = find_items(rows, given, id_col="_rid", text_col=text_col).select(F.col("record_id").alias("_id"), F.col("h").alias("_h"), F.col("items").alias("_items"))
 
     @F.pandas_udf("string")
     def replace(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -324,6 +328,6 @@ def redact(rows: DataFrame, given: DataFrame, *, id_col: str, text_col: str, out
 
     has = F.length(text_col) > 0
     keyed = rows.withColumn("_h", F.xxhash64(text_col))
-    joined = keyed.where(has).join(items, (F.col(id_col) == F.col("_id")) & (keyed["_h"] == items["_h"]), "left").drop("_id", "_h")
+    joined = keyed.where(has).join(items, (F.col("_rid") == F.col("_id")) & (keyed["_h"] == items["_h"]), "left").drop("_id", "_h")
     done = joined.withColumn(out_col, F.when(F.col("_items").isNull(), F.col(text_col)).otherwise(replace(text_col, "_items"))).drop("_items")
-    return done.unionByName(rows.where(~F.coalesce(has, F.lit(False))).withColumn(out_col, F.col(text_col)))
+    return done.unionByName(rows.where(~F.coalesce(has, F.lit(False))).withColumn(out_col, F.col(text_col))).drop("_rid")

@@ -80,7 +80,7 @@ def test_table_functions(spark):
     assert got == {("r", "NAME", 4), ("r", "NAME", 3), ("l", "EMAIL", 250000)}
     out = redact(rows.where("id is null or id != 'l'"), none, id_col="id", text_col="text")
     assert out.columns == ["id", "text", "pii_type", "redacted"]
-    assert sorted(((r.id, r.redacted) for r in out.collect()), key=str) == sorted([("r", "Dr. [NAME]")] * 2 + [("r", "Ms [NAME]"), ("n", None), ("e", ""), (None, "Dr. Umegrave")], key=str)
+    assert sorted(((r.id, r.redacted) for r in out.collect()), key=str) == sorted([("r", "Dr. [NAME]")] * 2 + [("r", "Ms [NAME]"), ("n", None), ("e", ""), (None, "Dr. [NAME]")], key=str)
     assert find_items(rows.limit(0), none, id_col="id", text_col="text").count() == 0
 
 
