@@ -190,7 +190,7 @@ def convert(rows: DataFrame, units: DataFrame) -> DataFrame:
     Columns: entity_id, quantity, common_unit, decimals, value_common, as_recorded (already in the common form).
     """
     spark = rows.sparkSession
-    names = F.broadcast(quantity_names(units))  # measure_units: fixed size, a few names per quantity
+    names = F.broadcast(stage(quantity_names(units), "quantity-names"))  # measure_units: fixed size, a few names per quantity
     value = F.trim(F.regexp_replace("value", r"[\s  ]+", " "))
     r = rows.where(F.col("value").rlike(r"\d") & F.col("entity_text").isNotNull() & F.col("entity_id").isNotNull()).select("entity_id", "entity_text", F.col("value").alias("raw_value"), value.alias("value"), "unit", F.col("entity_context").alias("context"))
     # The name of the quantity: the whole text, or what stands before a unit named in it.
@@ -199,7 +199,7 @@ def convert(rows: DataFrame, units: DataFrame) -> DataFrame:
     hint = F.concat(*[F.regexp_extract("entity_text", tail, i) for i in (2, 3, 4, 5)])
     whole = r.join(names, F.col("_whole") == F.col("name_key")).withColumn("hint", F.lit(""))
     head = r.join(names.select(F.col("name_key").alias("_whole")), "_whole", "left_anti").join(names, F.col("_head") == F.col("name_key")).withColumn("hint", hint)
-    r = whole.unionByName(head).drop("_whole", "_head", "name_key")
+    r = stage(whole.unionByName(head).drop("_whole", "_head", "name_key"), "quantities")  # read for pairs and for single numbers
 
     pair = r"(?i)^(\d+)\s*(ft|feet|foot|'|st|stone)\s*(\d+(?:\.\d+)?)\s*(in|ins|inch|inches|\"|''|lb|lbs|pounds?)?$"
     big, small, which = F.regexp_extract("value", pair, 1), F.regexp_extract("value", pair, 3), F.lower(F.regexp_extract("value", pair, 2))
@@ -221,7 +221,7 @@ def convert(rows: DataFrame, units: DataFrame) -> DataFrame:
     number = stage(number.drop("entity_text", "context", "hint", "value"), "measurements")  # read twice: for the dictionary and for the join
 
     spellings = stage(number.select("key", F.explode("kinds").alias("kind")).distinct(), "unit-spellings")
-    aliases = alias_dictionary(spellings, spark)
+    aliases = stage(alias_dictionary(spellings, spark), "unit-aliases")
     # A few spellings hold most rows: the join spreads them.
     by_key = aliases.groupBy("key").agg(F.collect_list(F.struct("kind", "factor", "shift")).alias("_alias"))
     hot = hot_keys(number.groupBy("key").agg(F.count("*").alias("n")), "key")
