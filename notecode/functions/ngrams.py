@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import stage
+
+
+#: Postings, of some 60 bytes each, up to which a list is broadcast.
+BROADCAST_POSTINGS = 300_000
+
 
 def char_ngrams(text: Column, n: int) -> Column:
     """The distinct character n-grams of a text with one boundary mark on either side."""
@@ -33,8 +39,10 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
     bound reaches ``least`` are scored in full. ``sizes``, if given, are the least and the
     most characters an entry may have, as expressions of the text; tested as pairs meet.
 
-    Until they are scored pairs are known by hashes of their sides only. Texts that share a
-    hash can raise each other's bound, but not a score.
+    Until they are scored entries are known by a hash only; entries that share one can raise
+    each other's bound, but not a score. Texts keep their columns: they are partitioned by
+    them from the start, so pairs are counted where their text is if the entries' postings
+    are at most ``BROADCAST_POSTINGS``. Both ways give the same rows.
     """
     keys = [text, *within]
     total = entries.agg(F.count("*").alias("_total"))  # one row
@@ -54,22 +62,25 @@ def candidates(spellings: DataFrame, entries: DataFrame, *, text: str, entry: st
         reached = acc["sum"] + g["w"] * g["w"]
         return F.struct(reached.alias("sum"), (acc["skip"] + F.when(reached < most, 1).otherwise(0)).alias("skip"), F.when(reached < most, reached).otherwise(acc["rest"]).alias("rest"))
 
-    def heavy(rows: DataFrame, names: list[str], extra: dict[str, Column]) -> DataFrame:
-        """(gram, weight, id, norm, norm left out, extra...) of the n-grams that are joined."""
+    def heavy(rows: DataFrame, columns: list[str], extra: dict[str, Column]) -> DataFrame:
+        """(columns, norm, norm left out, extra..., gram, weight) of the n-grams that are joined."""
         left_out = F.aggregate("_grams", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skip"), F.lit(0.0).alias("rest")), step)
         rows = rows.withColumns({"_cut": left_out, **extra})
-        rows = rows.select(*within, F.xxhash64(*names).alias("id"), F.sqrt("_sq").alias("norm"), F.col("_cut.rest").alias("rest"), *extra, F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g"))
-        return rows.select(*within, "id", "norm", "rest", *extra, F.col("g.gram").alias("gram"), F.col("g.w").alias("w"))
-
-    size = F.length(entry)
-    t = heavy(texts, keys, {} if sizes is None else {"_lo": sizes[0], "_hi": sizes[1]}).withColumnsRenamed({"id": "_t", "norm": "_sn", "rest": "_sr"})
-    e = heavy(vectors, [entry, *within], {} if sizes is None else {"_size": size}).withColumnsRenamed({"id": "_e", "norm": "_en", "rest": "_er"}).drop("w")
+        rows = rows.select(*columns, F.sqrt("_sq").alias("norm"), F.col("_cut.rest").alias("rest"), *extra, F.explode(F.expr("slice(_grams, _cut.skip + 1, size(_grams))")).alias("g"))
+        return rows.select(*columns, "norm", "rest", *extra, F.col("g.gram").alias("gram"), F.col("g.w").alias("w"))
+
+    t = heavy(texts, keys, {} if sizes is None else {"_lo": sizes[0], "_hi": sizes[1]}).withColumnsRenamed({"norm": "_sn", "rest": "_sr"})
+    vectors = stage(vectors, "ngram-index")
+    e = heavy(vectors.withColumn("_e", F.xxhash64(entry, *within)), ["_e", *within], {} if sizes is None else {"_size": F.length(entry)}).withColumnsRenamed({"norm": "_en", "rest": "_er"}).drop("w")
+    # A list whose postings are few goes to the texts, so that pairs need not be shuffled to be counted; else both sides are shuffled by n-gram.
+    if (vectors.agg(F.sum(F.size("_grams"))).head()[0] or 0) <= BROADCAST_POSTINGS:
+        e = F.broadcast(e)
     shared = t.join(e, ["gram", *within])
     if sizes is not None:
         shared = shared.where(F.col("_size").between(F.col("_lo"), F.col("_hi")))
-    pairs = shared.groupBy("_t", "_e").agg(F.sum(F.col("w") * F.col("w")).alias("_part"), *[F.max(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
-    pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).select("_t", "_e")
-    pairs = pairs.join(texts.select(*keys, F.xxhash64(*keys).alias("_t"), F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), "_t")
+    pairs = shared.groupBy(*keys, "_e").agg(F.sum(F.col("w") * F.col("w")).alias("_part"), *[F.max(c).alias(c) for c in ("_sn", "_sr", "_en", "_er")])
+    pairs = pairs.where(F.col("_part") + F.greatest("_sr", "_er") >= least * F.col("_sn") * F.col("_en")).select(*keys, "_e")
+    pairs = pairs.join(texts.select(*keys, F.sqrt("_sq").alias("_sn"), F.transform("_grams", lambda g: g["gram"]).alias("_all")), keys)
     dot = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.when(F.array_contains("_all", g["gram"]), g["w"] * g["w"]).otherwise(0.0))
     named = vectors.select(entry, *within, F.xxhash64(entry, *within).alias("_e"), F.sqrt("_sq").alias("_en"), "_grams")
     scored = pairs.join(named, ["_e", *within]).withColumn("cosine", dot / (F.col("_en") * F.col("_sn")))

@@ -74,3 +74,25 @@ def test_commas_are_read_by_the_other_values(spark):
     rows += [("p", "Platelet count", "210,000", "/uL", None), ("w", "Body weight", "61,500", "kg", None), ("g", "Body weight", "61,500", "g", None)]
     got = {r.entity_id: r.value_common for r in convert(spark.createDataFrame(rows, "entity_id string, entity_text string, value string, unit string, entity_context string"), units).collect()}
     assert (got["p"], got["w"], got["g"]) == (210.0, 61.5, 61.5)
+
+
+def test_candidates_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from notecode.functions import ngrams
+
+    texts, entries = ["abcdef", "abcxef", "zzz", "abc", ""], ["abcdef", "abcde", "zzzz", "q"]
+    grams = lambda t: {f"^{t}$"[i : i + 2] for i in range(len(t) + 1)}
+    df = {g: sum(g in grams(e) for e in entries) for e in entries for g in grams(e)}
+    w = lambda g: math.log1p(len(entries) / df.get(g, 1)) if g in df else math.log1p(len(entries))
+    norm = lambda t: math.sqrt(sum(w(g) ** 2 for g in grams(t)))
+    want = {(t, e): sum(w(g) ** 2 for g in grams(t) & grams(e)) / norm(t) / norm(e) for t in texts for e in entries}
+    a, b = spark.createDataFrame([(t,) for t in texts], "t string"), spark.createDataFrame([(e,) for e in entries], "e string")
+    for most in (300_000, 0):
+        monkeypatch.setattr(ngrams, "BROADCAST_POSTINGS", most)
+        got = {(r.t, r.e): round(r.cosine, 9) for r in ngrams.candidates(a, b, text="t", entry="e", least=0.3).collect()}
+        assert got == {k: round(v, 9) for k, v in want.items() if v >= 0.3}
+        sized = ngrams.candidates(a, b, text="t", entry="e", least=0.3, sizes=(F.length("t"), F.length("t"))).collect()
+        assert {(r.t, r.e) for r in sized} == {k for k, v in want.items() if v >= 0.3 and len(k[0]) == len(k[1])}
