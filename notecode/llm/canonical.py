@@ -66,15 +66,22 @@ def _letters_for_digits(text: Column) -> Column:
 
 
 def forms(values: DataFrame, column: str = "text") -> DataFrame:
-    """(text, key): every reading of a distinct value, as squashed names."""
-    core, inverted = squash(_core(F.col(column))), squash(_core(_inverted(F.col(column))))
-    hint = F.concat(*[F.regexp_extract(F.col(column), _TAIL, i) for i in (2, 3, 4, 5, 6)])
+    """(text, key): every reading of a distinct value, as squashed names.
+
+    What reads a value more than once is in columns of its own, and readings that cannot
+    differ from others (no comma, no digit, no bracket) are not made.
+    """
+    bare_letters = lambda c: F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
     known = [name + plural for units in UNITS.values() for _, _, names in units for name in names for plural in ("", "s")]
-    head = F.when(unit_key(F.regexp_replace(hint, r"[^\p{L}\p{N}%％°℃℉)\]\"]+$", "")).isin(known), squash(F.regexp_extract(F.col(column), _TAIL, 1)))
-    bare = F.regexp_replace(core, LEADING, "")
-    read = squash(_letters_for_digits(_core(F.col(column))))
-    keys = F.array_distinct(F.filter(F.array(squash(F.col(column)), core, inverted, bare, head, read), lambda k: k.isNotNull() & (k != "")))
-    return values.select(F.col(column).alias("text"), F.explode(keys).alias("key"))
+    v = values.select(F.col(column).alias("text")).withColumn("_core", _core(F.col("text")))
+    v = v.withColumn("_inverted", F.when(F.contains("text", F.lit(",")), _core(_inverted(F.col("text")))))
+    hint = F.concat(*[F.regexp_extract("text", _TAIL, i) for i in (2, 3, 4, 5, 6)])
+    v = v.withColumn("_hint", F.when(F.col("text").rlike(r"[(\[,]|\sin\s"), unit_key(F.regexp_replace(hint, r"[^\p{L}\p{N}%％°℃℉)\]\"]+$", ""))))
+    v = v.withColumn("_key", bare_letters(F.col("_core")))
+    head = F.when(F.col("_hint").isin(known), squash(F.regexp_extract("text", _TAIL, 1)))
+    read = F.when(F.col("_core").rlike(r"\d"), bare_letters(_letters_for_digits(F.col("_core"))))
+    keys = F.array(squash(F.col("text")), F.col("_key"), bare_letters(F.col("_inverted")), F.regexp_replace("_key", LEADING, ""), head, read)
+    return v.select("text", F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull() & (k != "")))).alias("key"))
 
 
 def concept_names(concepts: DataFrame) -> DataFrame:
