@@ -32,15 +32,18 @@ from ..sources.tables import stage
 MAX_END_SHARE = 0.1
 MARK = r"[\s\x{200b}]*(?:\.\.\.+|…|\[(?:\.\.\.|…)\]|\((?:\.\.\.|…)\))[\s\x{200b}]*$"
 _BLANK = " \t\r\n\v\f\u00a0\u200b\ufeff\u2009\u202f\u3000"
-_SPACE = r"[\s\x{a0}\x{2000}-\x{200b}\x{202f}\x{3000}\x{feff}]+"
+_SPACE = r"[ \t\x0b\f\x{a0}\x{2000}-\x{200b}\x{202f}\x{3000}\x{feff}]+"
+
+
+def _plain(text: Column) -> Column:
+    """Digits as 0, blanks within a line as single spaces."""
+    return F.regexp_replace(F.regexp_replace(text, r"\p{N}+", "0"), _SPACE, " ")
 
 
 def _units(text: Column) -> Column:
     """Sentences and lines of a text, digits as 0, single spaces."""
-    t = F.regexp_replace(text, r"\p{N}+", "0")
-    t = F.regexp_replace(t, r"([.!?][\"”»')]*)[^\S\n]+", "$1\n")
-    parts = F.transform(F.split(t, r"[\r\n]+"), lambda u: F.trim(F.regexp_replace(u, _SPACE, " ")))
-    return F.filter(parts, lambda u: u != "")
+    t = F.regexp_replace(_plain(text), r"([.!?][\"”»')]*) ", "$1\n")
+    return F.filter(F.transform(F.split(t, r"[\r\n]+"), F.trim), lambda u: u != "")
 
 
 def _words(unit: Column) -> Column:
@@ -60,8 +63,8 @@ def _grams(w: Column) -> Column:
 
 def _last_unit(line: Column) -> Column:
     """The last sentence of a line, as ``_units`` gives it; null if there is none."""
-    last = F.regexp_extract(F.regexp_replace(line, r"\p{N}+", "0"), r"(?s)^(?:.*[.!?][\"”»')]*[^\S\n]+)?(.*)$", 1)
-    return F.nullif(F.trim(F.regexp_replace(last, _SPACE, " ")), F.lit(""))
+    last = F.regexp_extract(_plain(line), r"(?s)^(?:.*[.!?][\"”»')]* )?(.*)$", 1)
+    return F.nullif(F.trim(last), F.lit(""))
 
 
 def final_trigrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,7 +72,7 @@ def final_trigrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = F.trim(F.col(text_col), F.lit(_BLANK))
     d = docs.select(F.col(id_col).alias("id"), whole.alias("t")).where(F.length("t") > 0)
     # Only the text from its last line on matters for the end.
-    d = d.select("id", F.xxhash64("t").alias("h"), F.substring_index(F.translate("t", "\r", "\n"), "\n", -1).alias("line"))
+    d = d.select("id", F.xxhash64("t").alias("h"), F.substring_index(F.substring_index("t", "\n", -1), "\r", -1).alias("line"))
     row = F.col("line").rlike(r"^\s*(?:[-*•·–]|\p{N}+[.)])\s") & ~F.col("line").rlike(r"^\s*--")
     d = d.where(~row).withColumn("bare", F.trim(F.regexp_replace("line", MARK, ""), F.lit(_BLANK)))
     # Without a mark, which is most texts, the two are the same.
