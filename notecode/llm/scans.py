@@ -383,6 +383,12 @@ def occurrences(records: DataFrame, flagged: bytes, linked: bytes, core: list[st
                 ids.append(k)
             return ids, hits
 
+        met, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def meetings():
+            a = met // size
+            return pd.DataFrame({"kind": "pair", "word": np.array(words, object)[a], "own": np.array(of_core, np.int64)[a], "core": met % size, "n": times}).assign(id=None, h=0, line=0, at=0, size=0, number=None, ctx=[[]] * len(met))[_SEEN]
+
         for pdf in batches:
             stream: list[int] = []
             rows = []
@@ -413,15 +419,20 @@ def occurrences(records: DataFrame, flagged: bytes, linked: bytes, core: list[st
                 for a, b in ((ids[:-d], near_core[d:]), (ids[d:], near_core[:-d])):
                     both = want[a] & (b >= 0)
                     keys.append(a[both] * size + b[both])
+            # Counts of a task are kept together, so that a pair goes out once and not once per batch.
             key, n = np.unique(np.concatenate(keys), return_counts=True)
-            a = key // size
-            if len(key):
-                yield pd.DataFrame({"kind": "pair", "word": np.array(words, object)[a], "own": core_of[a], "core": key % size, "n": n}).assign(id=None, h=0, line=0, at=0, size=0, number=None, ctx=[[]] * len(key))[_SEEN]
+            met, back = np.unique(np.concatenate([met, key]), return_inverse=True)
+            times = np.bincount(back, weights=np.concatenate([times, n]), minlength=len(met)).astype(np.int64)
+            if len(met) > 2_000_000:
+                yield meetings()
+                met, times = met[:0], times[:0]
             if rows:
                 at = [r[7] + WINDOW for r in rows]
                 around = [[int(c) for c in (*near_core[p - WINDOW : p], *near_core[p + 1 : p + 1 + WINDOW]) if c >= 0] for p in at]
                 out = pd.DataFrame([r[:7] for r in rows], columns=["id", "h", "line", "at", "size", "word", "number"])
                 yield out.assign(kind="seen", ctx=around, own=-1, core=-1, n=0)[_SEEN]
+        if len(met):
+            yield meetings()
 
     return records.mapInPandas(run, "kind string, id string, h long, line int, at int, size int, word string, number string, ctx array<int>, own int, core int, n long")
 
