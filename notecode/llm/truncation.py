@@ -62,22 +62,26 @@ def _grams(w: Column) -> Column:
 
 
 def _last_unit(line: Column) -> Column:
-    """The last sentence of a line, as ``_units`` gives it; null if there is none."""
-    last = F.regexp_extract(_plain(line), r"(?s)^(?:.*[.!?][\"”»')]* )?(.*)$", 1)
-    return F.nullif(F.trim(last), F.lit(""))
+    """The last sentence of a line, as ``_units`` gives it; empty if there is none."""
+    return F.trim(F.regexp_extract(_plain(line), r"(?s)^(?:.*[.!?][\"”»')]* )?(.*)$", 1))
+
+
+def _once(value: Column) -> Column:
+    """The value by way of a generator, so that conditions on it are tested on the result and do not repeat its making."""
+    return F.explode(F.array(value))
 
 
 def final_trigrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, a, b, c, marked, whole): the final trigram of every text that is not blank and does not end in a list row."""
     whole = F.trim(F.col(text_col), F.lit(_BLANK))
-    d = docs.select(F.col(id_col).alias("id"), whole.alias("t")).where(F.length("t") > 0)
+    d = docs.select(F.col(id_col).alias("id"), _once(whole).alias("t")).where(F.length("t") > 0)
     # Only the text from its last line on matters for the end.
-    d = d.select("id", F.xxhash64("t").alias("h"), F.substring_index(F.substring_index("t", "\n", -1), "\r", -1).alias("line"))
+    d = d.select("id", F.xxhash64("t").alias("h"), _once(F.substring_index(F.substring_index("t", "\n", -1), "\r", -1)).alias("line"))
     row = F.col("line").rlike(r"^\s*(?:[-*•·–]|\p{N}+[.)])\s") & ~F.col("line").rlike(r"^\s*--")
-    d = d.where(~row).withColumn("bare", F.trim(F.regexp_replace("line", MARK, ""), F.lit(_BLANK)))
+    d = d.where(~row).select("id", "h", "line", _once(F.trim(F.regexp_replace("line", MARK, ""), F.lit(_BLANK))).alias("bare"))
     # Without a mark, which is most texts, the two are the same.
-    d = d.select("id", "h", (F.length("line") > F.length("bare")).alias("marked"), F.col("line"), _last_unit(F.col("bare")).alias("unit")).where("unit is not null")
-    d = d.withColumn("whole", F.when(F.col("marked"), _last_unit(F.col("line"))).otherwise(F.col("unit"))).withColumn("w", F.split("unit", " "))
+    d = d.select("id", "h", (F.length("line") > F.length("bare")).alias("marked"), "line", _once(_last_unit(F.col("bare"))).alias("unit")).where("unit != ''")
+    d = d.select("id", "h", "marked", F.when(F.col("marked"), _last_unit(F.col("line"))).otherwise(F.col("unit")).alias("whole"), _once(F.split("unit", " ")).alias("w"))
     word = lambda k: F.coalesce(F.try_element_at("w", F.lit(-k)), F.lit("¶"))
     first = F.when(F.size("w") <= 4, F.concat(F.lit("¶"), word(3))).otherwise(word(3))
     return d.select("id", "h", "marked", "whole", first.alias("a"), word(2).alias("b"), word(1).alias("c"))
@@ -85,7 +89,7 @@ def final_trigrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(a, b, c, mid, ends): over all texts, how often a trigram goes on, and how often it ends a line or sentence before the text's end."""
-    t = docs.select(_units(F.col(text_col)).alias("u")).where(F.size("u") > 0)
+    t = docs.select(_once(_units(F.col(text_col))).alias("u"))
     units = t.select(F.posexplode("u").alias("i", "unit"), F.size("u").alias("n")).select("unit", (F.col("i") < F.col("n") - 1).alias("inner"))
     units = units.groupBy("unit").agg(F.count("*").alias("n"), F.count_if("inner").alias("inner")).select(_words(F.col("unit")).alias("w"), "n", "inner")
     grams = units.select(F.explode(_grams(F.col("w"))).alias("g"), "n", "inner")
