@@ -11,7 +11,8 @@ its own), as 64-bit word codes that do not depend on the shard or the items, and
 of all its suffixes, sorted by prefix doubling.
 
 Test items are sent to the workers in blocks of bounded size; the shards, not the texts,
-are read once per block. Defined results: null, empty and short texts match nothing; a
+are read once per block. A task holds one shard and a batch of rows at a time, however many
+there are: shards are written one by one and sent in batches of ``BATCH_BYTES``. Defined results: null, empty and short texts match nothing; a
 repeated item or document row gives the same rows once; matches never run across two texts.
 """
 
@@ -26,13 +27,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import stage
+from ..sources.tables import LARGE_ROWS, small_batches, stage
 
 MIN_WORDS = 12
 #: Words of a shard.
 SHARD_WORDS = 500_000
 #: Characters of test text that go to the workers in one block, and suffixes searched at once.
 BLOCK_CHARS, SUFFIXES = 8_000_000, 50_000
+#: Bytes of rows that go to a worker at once, and words whose codes a worker keeps.
+BATCH_BYTES, KNOWN_WORDS = 4_000_000, 200_000
 _WORD = re.compile(r"[^\W_]+").findall
 
 
@@ -108,8 +111,8 @@ def build_shards(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ids.append(i)
                 parts.append(np.append(part, 0))
                 size += len(part) + 1
-            if len(codes) > 1_000_000:
-                codes.clear()
+                if len(codes) > KNOWN_WORDS:
+                    codes.clear()
         if parts:
             yield pd.DataFrame([shard(ids, parts)])
 
@@ -146,17 +149,20 @@ def search(shards: DataFrame, items: list[tuple], *, min_words: int) -> DataFram
 
     def run(batches):
         queries = shared.value
-        starts = [(k, s) for k, (_, q) in enumerate(queries) for s in range(len(q) - min_words + 1)]
-        first = np.array([queries[k][1][s : s + min_words] for k, s in starts], np.int64).reshape(-1, min_words)
+        flat = np.concatenate([np.empty(0, np.int64), *(q for _, q in queries)])
+        of = np.repeat(np.arange(len(queries)), [len(q) for _, q in queries])
+        begin = np.cumsum([0, *(len(q) for _, q in queries)])
+        starts = np.concatenate([np.empty(0, np.int64), *(np.arange(b, b + len(q) - min_words + 1) for b, (_, q) in zip(begin, queries))])
         for pdf in batches:
             for ids, bounds, tokens, suffixes in zip(pdf["ids"], pdf["bounds"], pdf["tokens"], pdf["suffixes"]):
                 bounds, order = np.frombuffer(bounds, np.int32), np.frombuffer(suffixes, np.int32)
                 tokens = np.frombuffer(tokens, np.int64)
                 rows: dict[tuple, tuple] = {}
                 for at in range(0, len(starts) if len(order) else 0, SUFFIXES):
-                    lo, hi = find_suffixes(tokens, order, first[at : at + SUFFIXES])
+                    lo, hi = find_suffixes(tokens, order, flat[starts[at : at + SUFFIXES, None] + np.arange(min_words)])
                     for j in np.flatnonzero(lo < hi):
-                        k, s = starts[at + j]
+                        k = of[starts[at + j]]
+                        s = int(starts[at + j] - begin[k])
                         item, q = queries[k]
                         places = order[lo[j] : hi[j]]
                         if s:  # a match that began a word earlier is already known, and longer
@@ -179,13 +185,15 @@ def search(shards: DataFrame, items: list[tuple], *, min_words: int) -> DataFram
 
 def find_leaks(corpus: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The longest verbatim match of every (document, test item) that share ``min_words`` or more consecutive words."""
-    shards = stage(build_shards(corpus, id_col, text_col), "suffix-arrays")
+    with small_batches(corpus.sparkSession, BATCH_BYTES):
+        shards = stage(build_shards(corpus, id_col, text_col), "suffix-arrays", LARGE_ROWS)
     rows = items.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t")).where(F.col("t").isNotNull()).distinct()
     found, block, size = None, [], 0
 
     def flush():
         nonlocal found, block, size
-        part = search(shards, block, min_words=min_words)
+        with small_batches(shards.sparkSession, BATCH_BYTES):
+            part = stage(search(shards, block, min_words=min_words), "leaks")
         found = part if found is None else found.unionByName(part)
         block, size = [], 0
 

@@ -7,11 +7,13 @@ re-run of its tasks and nothing else.
 
 from __future__ import annotations
 
+import contextlib
 import io
 import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +38,12 @@ def _staged(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: For rows of some MB. Parquet's writer holds a hundred rows before it asks how large they are, and the least and largest
+#: value of every row group until the file is closed.
+LARGE_ROWS = {"parquet.block.row.count.limit": "1", "parquet.column.statistics.enabled": "false", "parquet.enable.dictionary": "false"}
+
+
+def stage(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     This cuts lineage and fixes values that would differ on a re-run (generated ids);
@@ -45,10 +52,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_staged(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs meanwhile sends rows to its Python workers in batches of about ``size`` bytes, a larger row alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> bool:
     """Delete all that this application has staged. Frames made from it cannot be read after."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged(spark))

@@ -1,6 +1,10 @@
 import random
 
+import pandas as pd
+import pyarrow.parquet as pq
+
 from notecode.llm import leakage
+from notecode.sources import tables
 
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 DOCS = "doc_id long, text string, item_id string"
@@ -79,5 +83,35 @@ def test_shards_of_any_size_give_the_same(spark, monkeypatch):
     assert run(spark, docs, [(1, ITEM)]) == whole and len(whole) == 16
 
 
+def test_a_task_holds_one_shard_however_many_there_are(spark, monkeypatch):
+    key, stage, staged, limits = "spark.sql.execution.arrow.maxBytesPerBatch", tables.stage, {}, []
+
+    def record(df, name, *options):
+        staged[name] = stage(df, name, *options)
+        limits.append(int(spark.conf.get(key).rstrip("b")))
+        return staged[name]
+
+    monkeypatch.setattr(leakage, "stage", record)
+    monkeypatch.setattr(leakage, "SHARD_WORDS", 40)
+    monkeypatch.setattr(leakage, "KNOWN_WORDS", 3, raising=False)
+    docs = spark.createDataFrame([(i, f"{ITEM} tail {i}", "x") for i in range(30)], DOCS).coalesce(1)
+    before = spark.conf.get(key)
+    assert leakage.find_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string")).count() == 30
+    shards = staged["suffix-arrays"]
+    files = [pq.ParquetFile(p.removeprefix("file://")).metadata for p in shards.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert len(groups) == shards.count() == 15 and all(g.num_rows == 1 for g in groups)
+    # the writer keeps the least and largest value of each row group until the end
+    assert not any(g.column(c).statistics for g in groups for c in range(g.num_columns))
+    assert len(limits) == 2 and max(limits) <= 4_000_000 and spark.conf.get(key) == before
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame([{"n": len(pdf)}])
+
+    with tables.small_batches(spark, 1):
+        assert {r.n for r in shards.coalesce(1).mapInPandas(sizes, "n int").collect()} == {1}
+
+
 def test_words():
     assert leakage.words("Fíve, x² ß_a") == ["five", "x²", "ß", "a"]
