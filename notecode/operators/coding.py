@@ -23,12 +23,21 @@ def active_entities(merged: DataFrame, assertions: DataFrame, coded: DataFrame)
     return merged.join(links, "entity_id", "left_anti").join(coded.select("entity_id").distinct(), "entity_id", "left_anti")
 
 
-def tier1_exact(active: DataFrame, dictionary: DataFrame) -> DataFrame:
+def _entries(dictionary: DataFrame) -> DataFrame:
+    """Entries with a code, under their term as ``key``."""
     d = dictionary.where("source_code is not null").select("term_normalized", F.col("source").alias("match_source"), F.col("entity_type").alias("term_type"), "source_code", F.col("cui").alias("term_cui"))
+    return d.withColumn("key", F.col("term_normalized"))
+
+
+def _as_exact(matches: DataFrame) -> DataFrame:
+    return matches.withColumns({"tier1_confidence": F.lit(0.98), "tier1_method": F.lit("exact"), "edit_distance": F.lit(0)})
+
+
+def tier1_exact(active: DataFrame, dictionary: DataFrame) -> DataFrame:
     rows = active.withColumn("key", norm_term(F.col("entity_text"))).where("key is not null")
     # A frequent text may hold a large share of the rows: it is spread over several tasks.
     hot = hot_keys(rows.groupBy("key").agg(F.count("*").alias("n")), "key")
-    return lookup_join(rows, d.withColumn("key", F.col("term_normalized")), "key", hot).withColumns({"tier1_confidence": F.lit(0.98), "tier1_method": F.lit("exact"), "edit_distance": F.lit(0)})
+    return _as_exact(lookup_join(rows, _entries(dictionary), "key", hot))
 
 
 def tier1_fuzzy(active: DataFrame, exact: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -50,23 +59,41 @@ def tier1_fuzzy(active: DataFrame, exact: DataFrame, dictionary: DataFrame) -> D
 
 
 def _best(df: DataFrame, code: str) -> DataFrame:
-    w = W.partitionBy("entity_id").orderBy(F.desc("confidence"), "edit_distance", code, "match_source")
+    w = W.partitionBy("entity_id").orderBy(F.desc("confidence"), "edit_distance", F.asc_nulls_last(code), "match_source")
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def resolve_icd10(matches: DataFrame, icd_ref: DataFrame, dictionary: DataFrame, snomed_map: DataFrame) -> DataFrame:
     """The best ICD-10 code of an entity: by its own dictionary code, through its concept, or through its SNOMED term."""
-    ref = icd_ref.where("is_billable").select(F.upper("code_raw").alias("raw"), F.col("code").alias("icd10_code"), F.col("description").alias("icd10_description")).dropDuplicates(["raw"])
+    ref = icd_ref.where("is_billable").groupBy(F.upper("code_raw").alias("raw")).agg(F.min("code").alias("icd10_code"), F.min_by("description", "code").alias("icd10_description"))
     own = matches.where("match_source = 'ICD10' and entity_type = 'DIAGNOSIS'").withColumn("raw", F.upper(F.regexp_replace("source_code", r"\.", ""))).join(ref, "raw").drop("raw").withColumn("weight", F.lit(1.0))
     names = icd_ref.select(F.col("code").alias("icd10_code"), F.col("description").alias("icd10_description")).dropDuplicates(["icd10_code"])
-    first = snomed_map.where("map_priority = 1").select("snomed_concept_id", "icd10_code")
-    via_cui = dictionary.where("source = 'SNOMED' and cui is not null").select(F.col("cui").alias("term_cui"), F.col("source_code").alias("snomed_concept_id")).distinct().join(first, "snomed_concept_id").drop("snomed_concept_id")
+    # Of the codes that one path gives a match only the least can be its best, so a concept has one code here, however many terms it has.
+    first = snomed_map.where("map_priority = 1").groupBy("snomed_concept_id").agg(F.min("icd10_code").alias("icd10_code"))
+    cuis = dictionary.where("source = 'SNOMED' and cui is not null").select(F.col("cui").alias("term_cui"), F.col("source_code").alias("snomed_concept_id")).distinct()
+    via_cui = cuis.join(first, "snomed_concept_id").groupBy("term_cui").agg(F.min("icd10_code").alias("icd10_code"))
     concept = matches.where("term_cui is not null").join(via_cui, "term_cui").join(names, "icd10_code", "left").withColumn("weight", F.lit(0.95))
     snomed = matches.where("match_source = 'SNOMED'").join(first, F.col("source_code") == F.col("snomed_concept_id")).drop("snomed_concept_id").join(names, "icd10_code", "left").withColumn("weight", F.lit(0.96))
     all_ = own.unionByName(concept.select(*own.columns)).unionByName(snomed.select(*own.columns))
     return _best(all_.withColumn("confidence", F.round(F.col("tier1_confidence") * F.col("weight"), 4)), "icd10_code")
 
 
+def resolve_icd10_exact(active: DataFrame, icd_ref: DataFrame, dictionary: DataFrame, snomed_map: DataFrame) -> DataFrame:
+    """``resolve_icd10`` of the exact matches of ``active``, without a row for every entity and entry that share a text.
+
+    What an exact match leads to depends on the text and on whether it is a diagnosis, on
+    nothing else of the entity. So the code is chosen once per such text, and then given to
+    the entities; the rows are those of the entities and of the dictionary, not their product.
+    """
+    kind = F.when(F.col("entity_type") == "DIAGNOSIS", "D").otherwise("-")
+    rows = active.withColumn("key", norm_term(F.col("entity_text"))).where("key is not null").withColumn("_text", F.concat(kind, "key"))
+    counts = rows.groupBy("_text").agg(F.count("*").alias("n"))
+    texts = counts.select(F.col("_text").alias("entity_id"), F.when(F.startswith("_text", F.lit("D")), "DIAGNOSIS").alias("entity_type"), F.substr("_text", F.lit(2)).alias("key"))
+    best = resolve_icd10(_as_exact(texts.join(_entries(dictionary), "key")), icd_ref, dictionary, snomed_map)
+    best = best.drop("entity_type", "key").withColumnRenamed("entity_id", "_text")
+    return _best(lookup_join(rows, best, "_text", hot_keys(counts, "_text")).drop("_text"), "icd10_code")
+
+
 def resolve_loinc(matches: DataFrame, labs: DataFrame, loinc_ref: DataFrame) -> DataFrame:
     """The best LOINC code of a lab entity: by dictionary code, else by the component's first word and agreeing axes."""
     ref = loinc_ref.select("loinc_code", "long_name", "component", "system_specimen", F.col("method").alias("ref_method"))

@@ -317,8 +317,7 @@ def resolve_icd10(spark, d):
     snomed = terms.select(F.col("concept_name").alias("term"), F.lit("SNOMED").alias("source"), F.lit("DIAGNOSIS").alias("entity_type"), F.col("concept_id").alias("source_code"), "cui")
     snomed = snomed.withColumn("term_normalized", norm_term(F.col("term"))).select(*dictionary_match.ENTRY)
     dictionary = dictionary_match.build_dictionary(icd10=role(spark, d, "icd_ref")).unionByName(snomed)
-    matches = coding.tier1_exact(_part_entities(spark, d), dictionary)
-    return coding.resolve_icd10(matches, role(spark, d, "icd_ref"), dictionary, role(spark, d, "snomed_map")).select("entity_id", "icd10_code", "confidence")
+    return coding.resolve_icd10_exact(_part_entities(spark, d), role(spark, d, "icd_ref"), dictionary, role(spark, d, "snomed_map")).select("entity_id", "icd10_code", "confidence")
 
 
 ORACLE["resolve_icd10"] = ORACLE["resolve_icd10"].removesuffix(" select 1") + _ICD_PATHS

@@ -158,3 +158,36 @@ def test_queries_reach_terms_of_five_words(spark, tmp_path):
     spark.createDataFrame(parts, "chart_id string, section_id string, section_text string").write.parquet(f"{tmp_path}/document_sections.parquet")
     assert [tuple(r) for r in QUERIES["dict_exact_counts"](spark, str(tmp_path)).collect()] == [("c", 1, 1)]
     assert [tuple(r)[:2] for r in QUERIES["dict_fuzzy_pairs"](spark, str(tmp_path)).collect()] == [("fracture of neck of femor", "fracture of neck of femur")]
+
+
+ENTITY = "entity_id string, chart_id string, entity_type string, entity_text string"
+
+
+def test_icd10_of_exact_matches(spark, rows):
+    entities = [("e1", "DIAGNOSIS", "Red Bolt"), ("e2", "OTHER", "red bolt"), ("e3", None, " red  bolt."), ("e4", "DIAGNOSIS", "blue rod"), ("e4", "DIAGNOSIS", "red bolt"), ("e5", "DIAGNOSIS", None), ("e6", "DIAGNOSIS", "brass"), ("e7", "OTHER", "green nut"), ("e8", "DIAGNOSIS", "blue rod")]
+    active = spark.createDataFrame([(i, "c", t, x) for i, t, x in entities], ENTITY)
+    terms = [("red bolt", "ICD10", "B01.1", None), ("red bolt", "ICD10", "A99.9", None), ("red bolt", "SNOMED", "S1", "C1"), ("red bolt", "SNOMED", "S2", "C2"), ("blue rod", "UMLS", "C2", "C2"), ("green nut", "SNOMED", "S3", "C3"), ("green nut", "SNOMED", "S4", None), ("brass", "ICD10", None, None)]
+    dictionary = spark.createDataFrame([(t, t, s, "DIAGNOSIS", code, cui) for t, s, code, cui in terms], "term string, term_normalized string, source string, entity_type string, source_code string, cui string")
+    ref = spark.createDataFrame([("B01.1", "B011", "one", True), ("B0.11", "b011", "two", True), ("A99.9", "A999", "three", False), ("C05", "C05", "four", True)], "code string, code_raw string, description string, is_billable boolean")
+    codes = spark.createDataFrame([("S1", None, 1), ("S1", "D02", 1), ("S2", "C05", 1), ("S2", "A00", 2), ("S3", None, 1), ("S4", "E07", 1)], "snomed_concept_id string, icd10_code string, map_priority int")
+    got = coding.resolve_icd10_exact(active, ref, dictionary, codes)
+    own, by_term, by_concept = ("B0.11", "two", 0.98), ("C05", "four", 0.9408), ("C05", "four", 0.931)
+    assert rows(got, "entity_id", "icd10_code", "icd10_description", "confidence") == [("e1", *own), ("e2", *by_term), ("e3", *by_term), ("e4", *own), ("e7", "E07", None, 0.9408), ("e8", *by_concept)]
+    every = coding.resolve_icd10(coding.tier1_exact(active, dictionary), ref, dictionary, codes)
+    assert set(got.columns) == set(every.columns) and rows(got, *every.columns) == rows(every)
+
+
+def test_icd10_of_a_text_with_many_entities_and_entries(spark, tmp_path):
+    import threading
+
+    from notecode.plans.reference import QUERIES
+
+    n = 60_000  # 20,000 terms have the same text as all entities
+    spark.range(n).selectExpr("id as p_partkey", "'red bolt' as p_name", "1 as p_size").write.parquet(f"{tmp_path}/part.parquet")
+    late = threading.Timer(120, spark.sparkContext.cancelAllJobs)
+    late.start()
+    try:
+        got = QUERIES["resolve_icd10"](spark, str(tmp_path)).groupBy("icd10_code", "confidence").agg(F.countDistinct("entity_id"), F.count("*")).collect()
+    finally:
+        late.cancel()
+    assert [tuple(r) for r in got] == [("A00.0", 0.9408, n, n)]
